@@ -57,9 +57,20 @@ def keep_known(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return lookup_join(df, other.select(key).distinct(), key, "left_semi")
 
 
-def keep_new(df: DataFrame, master: DataFrame, key: str) -> DataFrame:
-    """Rows whose key does not occur in the master table."""
-    return lookup_join(df, master.select(key).distinct(), key, "left_anti")
+def keep_new(df: DataFrame, master: DataFrame, on) -> DataFrame:
+    """Rows whose key does not occur in the master table.
+
+    The incoming side is the smaller one, so its keys filter the master's scan
+    first; the master's own keys are neither collected nor shuffled as a whole.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    wanted = df.select(*keys).distinct()
+    seen = master.select(*keys)
+    if fits_broadcast(wanted):
+        known = seen.join(F.broadcast(wanted), keys, "left_semi").distinct()
+        return df.join(F.broadcast(known), keys, "left_anti")
+    known = seen.distinct().join(wanted, keys, "left_semi")
+    return salted_join(df, known, keys, "left_anti")
 
 
 def first_per_key(df: DataFrame, keys, order: list[Column]) -> DataFrame:

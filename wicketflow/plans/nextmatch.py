@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wicketflow.config import Cleaning, Columns, FeatureRules, SelectionLimits
+from wicketflow.functions.text import canonical
 from wicketflow.operators.features import add_teams, features, recent_squad
-from wicketflow.operators.joins import append_outer, keep_known, null_safe_join
+from wicketflow.operators.joins import append_outer, keep_known, lookup_join, null_safe_join
 from wicketflow.operators.selection import select_team
 
 REPORT_KEYS = ("matchid", "playername", "playing_role", "playing_team", "playercost")
@@ -38,10 +39,22 @@ def next_match_frame(points: DataFrame, matches: DataFrame, squad_costs: DataFra
         [(matchid, year, city, venue, team1, team2, toss_winner)],
         "matchid bigint, year bigint, city string, venue string, team1 string, team2 string,"
         " toss_winner string")
-    frame = features(append_outer(points, squad), append_outer(matches, summary), cleaning, rules)
+    history = _relevant(points, squad, matches, venue, cleaning)
+    frame = features(append_outer(history, squad), append_outer(matches, summary), cleaning, rules)
     return frame.filter(F.col("matchid") == matchid)
 
 
+def _relevant(points: DataFrame, squad: DataFrame, matches: DataFrame, venue: str,
+              cleaning: Cleaning) -> DataFrame:
+    """History rows of the squad's players, and all rows of matches at the venue."""
+    players = squad.select("playername", F.lit(True).alias("_player")).distinct()
+    place = canonical(F.lit(venue), cleaning.venue)
+    here = (matches.filter(canonical(F.col("venue"), cleaning.venue) == place)
+            .select("matchid", F.lit(True).alias("_here")).distinct())
+    marked = lookup_join(lookup_join(points, players, "playername"), here, "matchid")
+    return marked.filter("_player or _here").select(*points.columns)
+
+
 def restrict_to_squad(frame: DataFrame, announced: DataFrame | None,
                       history: DataFrame, matches_back: int = 2) -> DataFrame:
     """Keep announced players; before the announcement, those of each team's last matches."""

@@ -21,6 +21,8 @@ class Tables:
     """Where a job keeps its tables and models."""
 
     root: str
+    # Match ids per folder of the append-only master tables.
+    slice_width: int = 65_536
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"

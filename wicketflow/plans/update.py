@@ -13,8 +13,7 @@ from wicketflow.operators.joins import append_common, append_outer, keep_new
 from wicketflow.operators.points import player_points
 from wicketflow.operators.scorecard import scorecard
 from wicketflow.plans.train import Tables
-
-BUCKETS = 4_096
+from wicketflow.sources.files import write_per_key
 
 
 @dataclass(frozen=True)
@@ -48,11 +47,17 @@ def update_masters(masters: Masters, deliveries: DataFrame, matches: DataFrame,
         append_outer(masters.matches, keep_new(finished(matches), masters.matches, "matchid")))
 
 
+def _sliced(df: DataFrame, width: int) -> DataFrame:
+    return df.withColumn("match_slice", F.floor(F.col("matchid") / width).cast("bigint"))
+
+
 def _append(df: DataFrame, tables: Tables, name: str) -> None:
-    """Append in folders of match ids, so that a lookup of known matches reads few columns."""
-    (df.withColumn("match_bucket", F.pmod("matchid", F.lit(BUCKETS)).cast("int"))
-     .repartition("match_bucket", F.pmod(F.xxhash64(*df.columns), F.lit(8)))
-     .write.mode("append").partitionBy("match_bucket").parquet(tables.path(name)))
+    """Append in folders of consecutive match ids.
+
+    A later update joins on folder and match id, so it reads only the folders
+    that its own match ids fall into.
+    """
+    write_per_key(_sliced(df, tables.slice_width), tables.path(name), "match_slice", mode="append")
 
 
 def append_to_tables(tables: Tables, deliveries: DataFrame, matches: DataFrame,
@@ -60,18 +65,22 @@ def append_to_tables(tables: Tables, deliveries: DataFrame, matches: DataFrame,
                      role_rules: RoleRules = RoleRules(), stage=None) -> None:
     """Write only the new rows behind the stored masters.
 
-    Deliveries go last of the two tables derived from them: a job that dies in
-    between finds its match scored but not stored, and stores it when repeated.
+    Each table is compared with its own keys, so a job that dies between two
+    tables completes the missing ones when it is run again.
     """
     spark = deliveries.sparkSession
+    key = ["match_slice", "matchid"]
+    incoming = _sliced(deliveries, tables.slice_width)
+    played = _sliced(finished(matches), tables.slice_width)
     master = {n: tables.read(spark, n) for n in ("deliveries", "points", "matches")}
+    unscored = keep_new(incoming, master["points"], key).drop("match_slice")
     fresh = {
-        "points": new_points(deliveries, master["points"], points_rules, role_rules, stage),
-        "deliveries": keep_new(deliveries, master["deliveries"], "matchid"),
-        "matches": keep_new(finished(matches), master["matches"], "matchid"),
+        "points": player_points(scorecard(unscored, role_rules, stage), points_rules),
+        "deliveries": keep_new(incoming, master["deliveries"], key),
+        "matches": keep_new(played, master["matches"], key),
     }
     for name, df in fresh.items():
-        columns = [c for c in master[name].columns if c in df.columns and c != "match_bucket"]
+        columns = [c for c in master[name].columns if c in df.columns and c != "match_slice"]
         _append(df.select(*columns), tables, name)
 
 

@@ -36,7 +36,8 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         " when q <= 46 then 4 else 6 end as batsmanscorevalue",
         "dismissal",
         "case when not dismissal then null when q = 25 then 'run out' when q = 40 then"
-        " 'retired hurt' when ls = 'F' then 'bowled' end as dismissedtype")
+        " 'retired hurt' when ls = 'F' then 'bowled' end as dismissedtype",
+        "l_orderkey * 8 + l_linenumber as sequence")
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,3 +73,101 @@ def squads(spark: SparkSession, sf_dir: str) -> DataFrame:
         "matchid", "playing_team", "playername", "id % 11 as idx",
         "(16 + (id * 7) % 6) / cast(2 as double) as playercost",
         "cast((id * 37 + matchid * 13) % 101 as double) as pred_points")
+
+
+def players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`squads` under cleaned names."""
+    return squads(spark, sf_dir).withColumn("playername", F.translate("playername", "-", " "))
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliveries in the shape of the play-by-play feed."""
+    return deliveries(spark, sf_dir).selectExpr(
+        "'season' as ipl_season", "sequence", "matchid as eventid", "innings", "150 as target",
+        "120 - cast(over as int) * 6 as remainingballs",
+        "if(innings = '1st innings', concat(fallofwickets * 10 + scorevalue, '/', fallofwickets),"
+        " '0') as homescore",
+        "if(innings = '1st innings', '0', concat(fallofwickets * 10 + scorevalue, '/',"
+        " fallofwickets)) as awayscore",
+        "fallofwickets", "cast(round(over * 10) as int) as ball", "over", "scorevalue",
+        "if(scorevalue = 3, 1, 0) + if(dismissal, 1, 0) as validball",
+        "if(scorevalue = 3, 1, 0) + if(dismissal, 1, 0) + scorevalue % 2 + fallofwickets % 2"
+        " as extras",
+        "dismissal", "dismissedtype as dismissaltype",
+        "cast(substr(batsmanname, 3) as bigint) as batsmanid", "batsmanname as batsman",
+        "battingteam as batsmanteam", "cast(substr(bowlername, 3) as bigint) as bowlerid",
+        "bowlername as bowler", "bowlingteam as bowlerteam",
+        "if(dismissal, cast(substr(bowlername, 3) as bigint), null) as otherathleteinvolvedid",
+        "if(dismissal, bowlername, '') as otherathleteinvolved",
+        "cast(substr(batsmanname, 3) as bigint) + 1 as nonstrikerid",
+        "concat('P-', cast(substr(batsmanname, 3) as bigint) + 1) as nonstriker",
+        "fallofwickets * 10 + scorevalue as runs", "scorevalue * cast(1.5 as double) as runrate")
+
+
+def play_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each delivery as a JSON page: its item, an empty item, and one that must not be read."""
+    item = """named_struct(
+        'sequence', sequence + {0}, 'periodText', innings,
+        'innings', named_struct('balls', ball, 'legByes', fallofwickets % 2, 'totalRuns', runs,
+            'fallOfWickets', fallofwickets, 'runRate', runrate, 'target', target,
+            'remainingBalls', remainingballs),
+        'over', named_struct('overs', over, 'noBall', if(scorevalue = 3, 1, 0),
+            'wide', if(dismissal, 1, 0), 'byes', scorevalue % 2),
+        'scoreValue', scorevalue,
+        'dismissal', named_struct('dismissal', dismissal, 'type', dismissaltype),
+        'batsman', named_struct('athlete', named_struct('id', batsmanid, 'name', batsman),
+            'team', named_struct('name', batsmanteam)),
+        'bowler', named_struct('athlete', named_struct('id', bowlerid, 'name', bowler),
+            'team', named_struct('name', bowlerteam)),
+        'otherBatsman', named_struct('athlete',
+            named_struct('id', nonstrikerid, 'name', nonstriker)),
+        'athletesInvolved', if(dismissal,
+            array(named_struct('id', bowlerid, 'name', bowler)), array()),
+        'homeScore', homescore, 'awayScore', awayscore)"""
+    one = feed(spark, sf_dir).selectExpr(
+        "ipl_season", "eventid", f"to_json({item.format(0)}) as item",
+        f"to_json({item.format(1)}) as decoy")
+    return one.select("ipl_season", "eventid", F.concat(
+        F.lit('{"commentary":{"items":['), "item", F.lit(",{},"), "decoy", F.lit("]}}"))
+        .alias("page"))
+
+
+def schedule_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each match as a JSON schedule page."""
+    return matches(spark, sf_dir).selectExpr("year", """to_json(named_struct('content', named_struct(
+        'matchEvents', array(named_struct('id', matchid, 'date', date,
+            'venue', named_struct('name', venue),
+            'competitors', array(
+                named_struct('name', team1, 'isWinner', winner = team1),
+                named_struct('name', team2, 'isWinner', winner = team2)),
+            'statusText', result))))) as page""")
+
+
+def squad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each squad entry as a JSON page of two blocks; every third match is not announced yet."""
+    return squads(spark, sf_dir).selectExpr("matchid", """to_json(named_struct('content', named_struct(
+        'squads', array(
+            named_struct('title', if(matchid % 3 = 0, 'Squads', 'Playing XI'),
+                'teamName', playing_team, 'players', array(named_struct('name', playername,
+                    'isCaptain', idx = 0, 'position', concat('Pos', idx),
+                    'link', named_struct('href', concat('/player/', idx))))),
+            named_struct('title', 'Bench', 'teamName', playing_team,
+                'players', array(named_struct('name', concat('Sub ', playername),
+                    'isCaptain', false, 'position', 'Bench',
+                    'link', named_struct('href', '/bench')))))))) as page""")
+
+
+def name_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of three player names mapped, some of them twice."""
+    d = deliveries(spark, sf_dir)
+    ids = (d.select(F.col("batsmanname").alias("n")).union(d.select("bowlername")).distinct()
+           .selectExpr("n", "cast(substr(n, 3) as int) as id"))
+    return (ids.filter("id % 3 <> 0").selectExpr(
+                "cast(id as bigint) as row_no", "n as feed_name",
+                "concat('Player ', id) as master_name")
+            .union(ids.filter("id % 5 = 1").selectExpr(
+                "cast(id + 1000 as bigint)", "n", "concat('Alias ', id)")))
+
+
+def last_match(spark: SparkSession, sf_dir: str) -> int:
+    return table(spark, sf_dir, "lineitem").agg(F.max("l_orderkey")).first()[0] // 50

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path, schema: T.StructType | str) -> DataFrame:
     """CSV with a header, in the schema's own column order."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
@@ -18,7 +18,7 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_parquet(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path, schema: T.StructType | str | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
 
@@ -28,18 +28,17 @@ def write_parquet(df: DataFrame, path: str, partition_by=()) -> None:
 
 
 def write_per_key(df: DataFrame, path: str, key: str, fmt: str = "parquet",
-                  files_per_key: int = 1) -> None:
+                  mode: str = "overwrite") -> None:
     """One folder per key value.
 
-    Rows are spread over `files_per_key` tasks per key by a hash of the row, so
-    a key with a large share of the rows can be written by many tasks.
+    Rebalancing lets adaptive execution gather small keys and split a key that
+    holds a large share of the rows over many tasks.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_key))
-    (df.repartition(F.col(key), spread).write.mode("overwrite").partitionBy(key)
+    (df.hint("rebalance", F.col(key)).write.mode(mode).partitionBy(key)
      .option("header", True).format(fmt).save(path))
 
 
-def read_csv_any_header(spark: SparkSession, paths, schema: T.StructType,
+def read_csv_any_header(spark: SparkSession, paths, schema: str,
                         aliases: dict[str, str] | None = None) -> DataFrame:
     """CSV files of one kind whose headers differ in order, or name a column differently.
 
@@ -52,7 +51,8 @@ def read_csv_any_header(spark: SparkSession, paths, schema: T.StructType,
     for path in paths:
         header = tuple(spark.read.option("header", True).csv(path).columns)
         shapes.setdefault(header, []).append(path)
-    types = {f.name: f.dataType for f in schema}
+    fields = T.StructType.fromDDL(schema)
+    types = {f.name: f.dataType for f in fields}
     parts = []
     for header, files in shapes.items():
         # A canonical column wins over its alias when a file has both.
@@ -64,5 +64,5 @@ def read_csv_any_header(spark: SparkSession, paths, schema: T.StructType,
         df = read_csv(spark, files, file_schema)
         parts.append(df.select(*[F.col(c).alias(n) for c, n in named.items()]))
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in whole.columns}
-    return whole.withColumns(missing).select(*schema.names)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in fields if f.name not in whole.columns}
+    return whole.withColumns(missing).select(*fields.names)

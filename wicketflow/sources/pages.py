@@ -17,12 +17,9 @@ from wicketflow.functions.text import whole_numbers
 ANNOUNCED = "Playing XI"
 
 
-_ITEM = schemas.PLAY_PAGE["commentary"].dataType["items"].dataType.elementType
-
-
 def _is_empty(item: Column) -> Column:
     """A missing item, or one without any field."""
-    return reduce(lambda a, b: a & b, [item[f].isNull() for f in _ITEM.names])
+    return reduce(lambda a, b: a & b, [item[f].isNull() for f in schemas.PLAY_ITEM])
 
 
 def play_items(pages: DataFrame, page: str = "page") -> DataFrame:
