@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from wicketflow.config import Cleaning, FeatureRules
 from wicketflow.functions.text import canonical
-from wicketflow.operators.joins import first_per_key, lookup_join
-from wicketflow.operators.rolling import add_lagged_means, number_rows
+from wicketflow.operators.joins import first_per_key, fits_broadcast, lookup_join
+from wicketflow.operators.rolling import lagged_means, match_totals, number_rows
 
 
 def clean_matches(matches: DataFrame, cleaning: Cleaning = Cleaning()) -> DataFrame:
@@ -37,11 +37,14 @@ def add_teams(points: DataFrame, cleaning: Cleaning = Cleaning()) -> DataFrame:
     return points.withColumns(new)
 
 
+def _match_info(matches: DataFrame) -> DataFrame:
+    return matches.select("matchid", "year", "city", "venue", F.col("team1").alias("home_team"),
+                          F.col("team2").alias("away_team"), "toss_winner")
+
+
 def add_match_info(points: DataFrame, matches: DataFrame) -> DataFrame:
     """Season, place, home and away team and toss winner of the match."""
-    info = matches.select("matchid", "year", "city", "venue", F.col("team1").alias("home_team"),
-                          F.col("team2").alias("away_team"), "toss_winner")
-    return lookup_join(points, info, "matchid")
+    return lookup_join(points, _match_info(matches), "matchid")
 
 
 def _flag(condition: Column) -> Column:
@@ -55,18 +58,24 @@ def add_flags(df: DataFrame) -> DataFrame:
         "toss_flag": _flag(F.col("playing_team") == F.col("toss_winner"))})
 
 
+def _tie_break(df: DataFrame) -> list[str]:
+    return [c for c in ("batsmen_innings", "bowlers_innings", "playing_team") if c in df.columns]
+
+
 def add_match_count(df: DataFrame, width: int = FeatureRules.slice_width) -> DataFrame:
     """How many matches the player has played, this one included."""
-    tie = [c for c in ("batsmen_innings", "bowlers_innings", "playing_team") if c in df.columns]
-    return number_rows(df, "playername", "matchid", tie, "player_match_count", width=width)
+    return number_rows(df, "playername", "matchid", _tie_break(df), "player_match_count",
+                       width=width)
 
 
 def add_lags(df: DataFrame, rules: FeatureRules = FeatureRules()) -> DataFrame:
     """Lagged means per venue and per player."""
-    by_venue = add_lagged_means(
-        df, "matchid", "venue", rules.venue_columns, rules.windows, rules.slice_width)
-    return add_lagged_means(
-        by_venue, "matchid", "playername", rules.player_columns, rules.windows, rules.slice_width)
+    out = df
+    for key, columns in (("venue", rules.venue_columns), ("playername", rules.player_columns)):
+        lags = lagged_means(match_totals(df, "matchid", key, columns), "matchid", key, columns,
+                            rules.windows, rules.slice_width)
+        out = out.join(lags, ["matchid", key], "left")
+    return out
 
 
 def add_lean_patch(df: DataFrame, base: str = "total_points_playername_avg") -> DataFrame:
@@ -78,9 +87,31 @@ def add_lean_patch(df: DataFrame, base: str = "total_points_playername_avg") ->
 
 def features(points: DataFrame, matches: DataFrame, cleaning: Cleaning = Cleaning(),
              rules: FeatureRules = FeatureRules()) -> DataFrame:
-    """Teams, match info, flags, match count and all lags of every player and match."""
-    known = add_match_info(add_teams(points, cleaning), clean_matches(matches, cleaning))
-    return add_lags(add_match_count(add_flags(known), rules.slice_width), rules)
+    """Teams, match info, flags, match count and all lags of every player and match.
+
+    Equal to the single steps in a row, but the wide table moves once. Venue
+    lags belong to a match and travel with its info; player lags and the count
+    of earlier rows share one history per player; the count within a match
+    reuses the partitioning of that last join.
+    """
+    info = _match_info(clean_matches(matches, cleaning))
+    small = fits_broadcast(info.select("matchid"))
+    places = lookup_join(points.select("matchid", *rules.venue_columns),
+                         info.select("matchid", "venue"), "matchid", small=small)
+    venue_lags = lagged_means(
+        match_totals(places, "matchid", "venue", rules.venue_columns), "matchid", "venue",
+        rules.venue_columns, rules.windows, rules.slice_width)
+    described = info.join(venue_lags, ["matchid", "venue"], "left")
+    player_lags = lagged_means(
+        match_totals(points, "matchid", "playername", rules.player_columns, "_earlier_rows"),
+        "matchid", "playername", rules.player_columns, rules.windows, rules.slice_width,
+        "_earlier_rows")
+    known = add_flags(lookup_join(add_teams(points, cleaning), described, "matchid", small=small))
+    joined = known.join(player_lags, ["matchid", "playername"], "left")
+    same_match = Window.partitionBy("matchid", "playername").orderBy(*_tie_break(known))
+    return joined.withColumn(
+        "player_match_count", F.col("_earlier_rows") + F.row_number().over(same_match)
+    ).drop("_earlier_rows")
 
 
 def recent_squad(card: DataFrame, matches_back: int = 2) -> DataFrame:

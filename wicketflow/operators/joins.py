@@ -18,16 +18,19 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left",
-                max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+                small: bool | None = None, salts: int = 0) -> DataFrame:
     """Join a large table to a lookup table (left, inner, semi or anti).
 
-    Small lookups are broadcast once their size is known. Larger ones are
-    shuffled with a salt, so that a key that owns a third of the facts is
-    spread over `salts` tasks.
+    A lookup is broadcast once its size is known to fit; `small` passes on a
+    size the caller has checked already. A larger one is a shuffled join, whose
+    hot partitions adaptive execution splits. With `salts`, keys are spread by
+    hand instead: for few lookup rows against many facts per key.
     """
-    if fits_broadcast(lookup, max_rows):
+    if fits_broadcast(lookup) if small is None else small:
         return facts.join(F.broadcast(lookup), on, how)
-    return salted_join(facts, lookup, on, how, salts)
+    if salts:
+        return salted_join(facts, lookup, on, how, salts)
+    return facts.join(lookup, on, how)
 
 
 def salted_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left",
@@ -70,7 +73,7 @@ def keep_new(df: DataFrame, master: DataFrame, on) -> DataFrame:
         known = seen.join(F.broadcast(wanted), keys, "left_semi").distinct()
         return df.join(F.broadcast(known), keys, "left_anti")
     known = seen.distinct().join(wanted, keys, "left_semi")
-    return salted_join(df, known, keys, "left_anti")
+    return df.join(known, keys, "left_anti")
 
 
 def first_per_key(df: DataFrame, keys, order: list[Column]) -> DataFrame:
@@ -101,11 +104,8 @@ def lookup_name(df: DataFrame, names: DataFrame, columns,
     small = fits_broadcast(first)
     for column in columns:
         mapped = first.select(F.col(source).alias(column), F.col(target).alias("_mapped"))
-        if small:
-            df = df.join(F.broadcast(mapped), column, "left")
-        else:
-            df = salted_join(df, mapped, column, "left")
-        df = df.withColumn(column, F.coalesce("_mapped", column)).drop("_mapped")
+        df = (lookup_join(df, mapped, column, small=small, salts=SALTS)
+              .withColumn(column, F.coalesce("_mapped", column)).drop("_mapped"))
     return df
 
 
@@ -113,7 +113,7 @@ def map_names_inner(df: DataFrame, names: DataFrame, column: str,
                     source: str = "feed_name", target: str = "master_name") -> DataFrame:
     """Replace names through a map; unmapped rows are lost and repeated keys multiply."""
     mapped = names.select(F.col(source).alias(column), F.col(target).alias("_mapped"))
-    return (lookup_join(df, mapped, column, "inner")
+    return (lookup_join(df, mapped, column, "inner", salts=SALTS)
             .withColumn(column, F.col("_mapped")).drop("_mapped"))
 
 

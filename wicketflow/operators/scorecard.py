@@ -49,8 +49,7 @@ def _as_bowler() -> list[Column]:
 
 def _seen_by(deliveries: DataFrame, *views: list[Column]) -> DataFrame:
     """Deliveries from the given points of view; rows without match or player are dropped."""
-    shared = ["matchid", "over", "innings", "battingteam", "bowlingteam",
-              F.col("over").cast("int").alias("over_num")]
+    shared = ["matchid", "over", "innings", "battingteam", "bowlingteam"]
     if len(views) == 1:
         seen = deliveries.select(*shared, *views[0])
     else:
@@ -61,11 +60,12 @@ def _seen_by(deliveries: DataFrame, *views: list[Column]) -> DataFrame:
 
 def _per_over(balls: DataFrame) -> DataFrame:
     """Totals per match, player, point of view and over number."""
-    per_ball = balls.groupBy(*KEYS, "bats", "over_num", "over").agg(
+    per_ball = balls.groupBy(*KEYS, "bats", "over").agg(
         F.sum("runs").alias("runs"), F.count("over").alias("balls"),
         F.count_if("six").alias("sixes"), F.count_if("four").alias("fours"),
         F.count_if("wicket").alias("wickets"), F.min("wickets_down").alias("wickets_down"))
-    return per_ball.groupBy(*KEYS, "bats", "over_num").agg(
+    over_number = F.col("over").cast("int").alias("over_num")
+    return per_ball.groupBy(*KEYS, "bats", over_number).agg(
         total(F.col("runs")).alias("runs"), F.sum("balls").alias("balls"),
         F.count("over").alias("legal_balls"), F.sum("sixes").alias("sixes"),
         F.sum("fours").alias("fours"), F.sum("wickets").alias("wickets"),
