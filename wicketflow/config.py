@@ -92,8 +92,8 @@ class FeatureRules:
     windows: tuple[int, ...] = (2, 3, 5, 10)
     venue_columns: tuple[str, ...] = ("total_bat_points", "total_bowl_points")
     player_columns: tuple[str, ...] = ("total_points", "fallofwickets", "total_balls_bowled")
-    # Match ids per slice of a key's history. A window task sees one slice of one key.
-    slice_width: int = 65_536
+    # A key's history is cut into slices of 2 ** slice_bits match ids; a window task sees one.
+    slice_bits: int = 16
 
 
 @dataclass(frozen=True)

@@ -62,10 +62,10 @@ def _tie_break(df: DataFrame) -> list[str]:
     return [c for c in ("batsmen_innings", "bowlers_innings", "playing_team") if c in df.columns]
 
 
-def add_match_count(df: DataFrame, width: int = FeatureRules.slice_width) -> DataFrame:
+def add_match_count(df: DataFrame, slice_bits: int = FeatureRules.slice_bits) -> DataFrame:
     """How many matches the player has played, this one included."""
     return number_rows(df, "playername", "matchid", _tie_break(df), "player_match_count",
-                       width=width)
+                       slice_bits=slice_bits)
 
 
 def add_lags(df: DataFrame, rules: FeatureRules = FeatureRules()) -> DataFrame:
@@ -73,7 +73,7 @@ def add_lags(df: DataFrame, rules: FeatureRules = FeatureRules()) -> DataFrame:
     out = df
     for key, columns in (("venue", rules.venue_columns), ("playername", rules.player_columns)):
         lags = lagged_means(match_totals(df, "matchid", key, columns), "matchid", key, columns,
-                            rules.windows, rules.slice_width)
+                            rules.windows, rules.slice_bits)
         out = out.join(lags, ["matchid", key], "left")
     return out
 
@@ -100,11 +100,11 @@ def features(points: DataFrame, matches: DataFrame, cleaning: Cleaning = Cleanin
                          info.select("matchid", "venue"), "matchid", small=small)
     venue_lags = lagged_means(
         match_totals(places, "matchid", "venue", rules.venue_columns), "matchid", "venue",
-        rules.venue_columns, rules.windows, rules.slice_width)
+        rules.venue_columns, rules.windows, rules.slice_bits)
     described = info.join(venue_lags, ["matchid", "venue"], "left")
     player_lags = lagged_means(
         match_totals(points, "matchid", "playername", rules.player_columns, "_earlier_rows"),
-        "matchid", "playername", rules.player_columns, rules.windows, rules.slice_width,
+        "matchid", "playername", rules.player_columns, rules.windows, rules.slice_bits,
         "_earlier_rows")
     known = add_flags(lookup_join(add_teams(points, cleaning), described, "matchid", small=small))
     joined = known.join(player_lags, ["matchid", "playername"], "left")

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wicketflow.operators.rolling import SLICE_WIDTH, number_rows
+from wicketflow.operators.rolling import SLICE_BITS, number_rows
 
 BLOCK = 5
 LONG_SERIES = 20
 
 
 def walk_forward(df: DataFrame, key: str, order: str, target: str, out: str = "ts_pred_points",
-                 tie: list[str] | None = None, width: int = SLICE_WIDTH) -> DataFrame:
+                 tie: list[str] | None = None, slice_bits: int = SLICE_BITS) -> DataFrame:
     """Forecast each block of 5 rows from rows before it; the first 5 rows get null.
 
     A series of 20 rows or more learns from the previous block only, a shorter
@@ -22,7 +22,7 @@ def walk_forward(df: DataFrame, key: str, order: str, target: str, out: str = "t
     Blocks, not histories, are grouped: 5 rows of a long series, fewer than 20
     of a short one. A key of any length is therefore spread over many tasks.
     """
-    numbered = number_rows(df, key, order, tie, "_seq", "_size", width)
+    numbered = number_rows(df, key, order, tie, "_seq", "_size", slice_bits)
     rows = numbered.filter(F.col(key).isNotNull()).select(
         key, F.col(target).cast("double").alias("_y"), "_seq", "_size",
         F.floor((F.col("_seq") - 1) / BLOCK).alias("_block"))
