@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_MINUTES = "yyyy-MM-dd'T'HH:mmX"
+ISO_MINUTES = "yyyy-MM-dd'T'HH:mmXXX"
 
 
 def parse_start(col: Column) -> Column:
