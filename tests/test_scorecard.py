@@ -2,7 +2,7 @@ import pytest
 
 from tests.conftest import rows
 from wicketflow.operators import scorecard as sc
-from wicketflow.operators.points import bowling_points, player_points
+from wicketflow.operators.points import batting_points, bowling_points, player_points
 
 DDL = ("matchid bigint, innings string, battingteam string, bowlingteam string,"
        " batsmanname string, bowlername string, `over` double, fallofwickets int,"
@@ -121,9 +121,9 @@ def test_published_points(spark, stats, points):
 @pytest.mark.parametrize("runs, bonus", [
     (0, -2), (1, 0), (49, 0), (50, 8), (99, 8), (100, 24), (None, 0)])
 def test_milestones_add_up(spark, runs, bonus):
-    df = spark.createDataFrame([(runs, 1, None, None)],
-                               "total_runs double, total_balls_faced bigint, run_6 bigint, run_4 bigint")
-    from wicketflow.operators.points import batting_points
+    df = spark.createDataFrame(
+        [(None if runs is None else float(runs), 1, None, None)],
+        "total_runs double, total_balls_faced bigint, run_6 bigint, run_4 bigint")
     assert batting_points(df).first().run_bonus_points == bonus
 
 

@@ -13,8 +13,8 @@ SALTS = 16
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the table has at most `max_rows` rows. Reads no more than that plus one."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when the table has at most `max_rows` rows. A distributed count; nothing is collected."""
+    return df.count() <= max_rows
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left",
