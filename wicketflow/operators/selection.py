@@ -171,7 +171,7 @@ def solve(points, steps, roles, slots, limits: SelectionLimits = SelectionLimits
 
 
 def best_teams(df: DataFrame, points: str, limits: SelectionLimits = SelectionLimits(),
-               cols: Columns = Columns()) -> DataFrame:
+               cols: Columns = Columns(), partitions: int | None = None) -> DataFrame:
     """Picked players per match with their points and rank (0 = best; of equals the later name)."""
     match, player = cols.match, cols.player
     pool = candidates(df, points, limits, cols)
@@ -185,7 +185,11 @@ def best_teams(df: DataFrame, points: str, limits: SelectionLimits = SelectionLi
         return pd.DataFrame({match: team[match], player: team[player], "points": team["points"],
                              "rank": np.arange(len(team))})
 
-    return pool.groupBy(match).applyInPandas(
+    # Solving costs time per match, not per byte, but adaptive execution gathers partitions by
+    # bytes. A fixed number of partitions by a column of its own stays as it is.
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pool.withColumn("_spread", F.xxhash64(match)).repartition(parts, "_spread")
+    return spread.groupBy("_spread", match).applyInPandas(
         pick, f"`{match}` {match_type}, `{player}` string, points double, rank int")
 
 

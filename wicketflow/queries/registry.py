@@ -126,7 +126,7 @@ def json_squads(spark, d):
 
 @query
 def html_links(spark, d):
-    return html.page_links(v.table(spark, d, "pages")).select(
+    return html.page_links(v.spread(v.table(spark, d, "pages"), "page_id")).select(
         "url", "title", "position", "href", text.url_segment(F.col("url"), 2).alias("host"),
         text.url_segment(F.col("url"), 6).alias("part6"),
         F.regexp_replace("url", "example", "sample").alias("renamed"))
@@ -134,7 +134,7 @@ def html_links(spark, d):
 
 @query
 def html_blocks(spark, d):
-    found = v.table(spark, d, "pages").select("page_id", "html")
+    found = v.spread(v.table(spark, d, "pages"), "page_id").select("page_id", "html")
     return html.class_blocks(found, "ad", {"text": "ad"})
 
 

@@ -10,9 +10,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table of few files over all cores.
+
+    The small test tables are one file of one row group, which one task reads. A
+    table of many files is left alone: its splits keep every core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery per order line: 50 orders make a match, line parity the innings."""
-    lines = table(spark, sf_dir, "lineitem").selectExpr(
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber").selectExpr(
         "l_orderkey div 50 as matchid", "l_linenumber % 2 as inn", "cast(l_quantity as int) as q",
         "cast(l_partkey as int) as pk", "cast(l_suppkey as int) as sk", "l_returnflag as rf",
         "l_linestatus as ls", "l_orderkey", "l_linenumber")
