@@ -339,7 +339,7 @@ def feature_importance(spark, d):
 
 @query
 def ensemble_fit(spark, d):
-    rows = _base(spark, d).withColumn(
+    rows = stage(_base(spark, d)).withColumn(
         "cost_points", F.when(F.col("matchid") % 2 == 0, F.col("playercost")))
     weights = models.fit_ensemble(rows, ["pred_points", "cost_points"])
     return models.blend_model(spark, {m: round(w, 6) for m, w in weights.items()})
@@ -377,7 +377,7 @@ def selection(spark, d):
 
 @query
 def selection_objective(spark, d):
-    picks = sel.best_teams(_base(spark, d), "total_points")
+    picks = sel.best_teams(stage(_base(spark, d)), "total_points")
     return sel.team_summary(picks).select("matchid", F.round("team_points", 6).alias("team_points"))
 
 
