@@ -19,8 +19,8 @@ m as ({_MATCHES}),
 e as (select rid, kind, ord, least, hits, checked, gaps, unnest(range(1, len(hits) + 1)) i
       from m),
 s as (select rid, kind, ord, length(hits[i]) size,
-             list_sum(list_transform(gaps[1:i], x -> length(x)))
-             + coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0) st
+             list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) st
       from e where length(checked[i]) >= least),
 f as (select rid, string_agg(kind || ':' || st::bigint || ':' || (st + size)::bigint, ','
                              order by st, ord) spans,
@@ -38,14 +38,14 @@ LINES = """
 with d as (select row_number() over () rid, doc_id, source, text,
                   string_split(text, chr(10)) lines from documents),
 x as (select rid, source, unnest(list_distinct(list_filter(
-        list_transform(lines, l -> trim(l, ' ' || chr(9) || chr(13))), l -> l <> ''))) line
+        list_transform(lines, lambda l: trim(l, ' ' || chr(9) || chr(13))), lambda l: l <> ''))) line
       from d),
 p as (select source, count(*) pages from documents group by source),
 b as (select x.source, x.line from x join p on x.source is not distinct from p.source
       group by x.source, x.line, p.pages having count(*) >= 5 and count(*) > 0.05 * p.pages),
 s as (select source, list(line) bad from b group by source),
 k as (select rid, doc_id, d.source, text, lines,
-             list_filter(lines, l -> not coalesce(list_contains(
+             list_filter(lines, lambda l: not coalesce(list_contains(
                bad, trim(l, ' ' || chr(9) || chr(13))), false)) kept
       from d left join s on d.source is not distinct from s.source)
 select doc_id, source, coalesce(len(lines), 0)::bigint n_lines,
