@@ -31,7 +31,7 @@ def append_columns(df: DataFrame, text: str, make: Callable[[], Callable[[list],
     """`df` with columns computed from the column `text`, a slice of rows at a time.
 
     `make` runs once in each task and returns the function that maps a list of texts
-    (None for null) to one list of values for each field. All columns of `df` pass
+    (None for null) to one list or Arrow array of values for each field. All columns of `df` pass
     through Arrow untouched, so that integers with nulls stay integers. A name of
     `fields` must not be a column of `df`.
     """
@@ -47,7 +47,8 @@ def append_columns(df: DataFrame, text: str, make: Callable[[], Callable[[list],
         for batch in batches:
             for part in slices(batch, text):
                 made = compute(part.column(text).to_pylist())
-                new = [pa.array(v, k) for v, k in zip(made, kinds, strict=True)]
+                new = [v if isinstance(v, pa.Array) else pa.array(v, k)
+                       for v, k in zip(made, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(list(part.columns) + new, names=names)
 
     return df.mapInArrow(run, schema)

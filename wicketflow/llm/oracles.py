@@ -55,4 +55,20 @@ select doc_id, source, coalesce(len(lines), 0)::bigint n_lines,
 from k
 """
 
-ORACLES = {"op1_secret_scans": SECRETS, "op5_line_dedup": LINES}
+_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+WARC = f"""
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) size,
+                  sha1(coalesce(html, '')) hex, coalesce(html, '') body from pages),
+w as (select page_id, size, hex, max(page_id) over (partition by body) winner from p),
+b as (select *, list_transform(range(0, 32), lambda i: list_reduce(list_transform(
+        range(i * 5, i * 5 + 5), lambda k: (((instr('0123456789abcdef', hex[k // 4 + 1]) - 1)
+          >> (3 - k % 4)::int) & 1)::bigint), lambda a, x: a * 2 + x)) digits from w)
+select page_id, size::bigint payload_bytes,
+       array_to_string(list_transform(digits, lambda d: '{_DIGITS}'[d + 1]), '') payload_digest,
+       case when page_id = winner then 'response' else 'revisit' end record_type,
+       case when page_id <> winner then winner end refers_to
+from b
+"""
+
+ORACLES = {"op1_secret_scans": SECRETS, "op5_line_dedup": LINES, "op9_warc": WARC}

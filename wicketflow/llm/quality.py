@@ -26,7 +26,7 @@ class RepeatLimits:
     its words, or if its longest repeat has over `max_longest` words."""
 
     min_words: int = 8
-    max_covered: float = 0.4
+    max_covered: float = 0.5
     max_longest: int = 120
 
 

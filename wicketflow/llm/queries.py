@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wicketflow.llm import linededup, packing, quality, secrets, simhash
+from wicketflow.llm import (
+    ann, linededup, packing, pieces, quality, secrets, simhash, template, toxicity, warc,
+)
+from wicketflow.session import fresh_path, stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +33,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.digest().alias("spans"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, F.col("vec_id") % 20 == 0)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +57,21 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    rows, toxic = toxicity.labelled_sample(docs, labels, "doc_id", "text", "toxic")
+    model = toxicity.fit(rows, toxicity.severity_grades(rows, toxic))
+    return toxicity.predict(docs, model).select(
+        "doc_id", "expected_severity", "severity",
+        (F.col("expected_severity") >= 0.5).alias("toxic"))
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json")).select(
@@ -56,7 +79,36 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    read = warc.read_archives(spark, path).select(
+        F.col("page_id").cast("long").alias("page_id"), "record_type", "record_id",
+        "refers_to_id", F.length("payload").cast("long").alias("payload_bytes"),
+        warc.base32_sha1(F.col("payload")).alias("payload_digest"))
+    read = stage(read, "records")
+    full = (read.where("record_type = 'response'").dropDuplicates(["record_id"])
+            .select(F.col("record_id").alias("target"), F.col("page_id").alias("refers_to"),
+                    "payload_bytes", "payload_digest"))
+    again = (read.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
+             .join(full, F.col("refers_to_id") == F.col("target"), "left"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return (read.where("record_type = 'response'")
+            .withColumn("refers_to", F.lit(None).cast("long")).select(*columns)
+            .union(again.select(*columns)))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    made = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return made.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_secret_scans, op3_simhash_near_dedup, op4_quality_rules, op5_line_dedup, op8_packing)
+        op1_secret_scans, op2_nearest_neighbours, op3_simhash_near_dedup,
+        op4_quality_rules, op5_line_dedup, op6_toxicity,
+        op7_html_extraction, op8_packing, op9_warc, op10_sentencepiece)
 }
