@@ -13,8 +13,6 @@ from wicketflow.llm.common import slices
 
 VERSION = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
-#: What ends a record and begins the next; a reader may split a plain archive there.
-BETWEEN = END + VERSION
 SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
 DATE = "2026-01-01T00:00:00Z"
@@ -35,13 +33,13 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
-    """Chunked framing. A chunk ends inside BETWEEN, so that it never stands in a block."""
+    """Chunked framing. A chunk ends inside VERSION, so that it never stands in a block."""
     out, at = [], 0
     while at < len(payload):
         end = min(at + size, len(payload))
-        found = payload.find(BETWEEN, at, end + len(BETWEEN))
-        if found >= 0 and found + len(END) < end + len(BETWEEN):
-            end = min(end, found + len(END))
+        found = payload.find(VERSION, at, end)
+        if found >= 0:
+            end = found + 4
         part = payload[at:end]
         out.append(b"%x\r\n%b\r\n" % (len(part), part))
         at = end
@@ -164,11 +162,11 @@ def parse(raw: bytes) -> tuple | None:
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """RECORD rows of all archives under `path`, plain or compressed, of any size.
 
-    The text source cuts archives between records. Where a payload holds the very bytes that
-    stand between records, its record is shorter than it says and takes the next pieces of
-    the same file until it is whole; if the file's split ends before, it is not `intact`.
+    The text source cuts archives at the version lines that begin the records. Where a
+    payload holds such a line, its record is shorter than it says and takes the next pieces
+    of the same file until it is whole; if the file's split ends before, it is not `intact`.
     """
-    lines = (spark.read.option("lineSep", BETWEEN.decode()).text(path)
+    lines = (spark.read.option("lineSep", VERSION.decode()).text(path)
              .select(F.col("value").cast("binary").alias("raw"),
                      F.input_file_name().alias("file")))
 
@@ -188,11 +186,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     row = None
                     if open_row is not None:
                         if file == open_file:
-                            raw = open_raw + BETWEEN + raw
+                            raw = open_raw + VERSION + raw
                             row = parse(raw)
                         else:
                             held.append(open_row)
-                    row = row or parse(raw.removeprefix(VERSION))
+                    row = row or parse(raw)
                     open_row = None
                     if row is None:
                         continue
