@@ -16,8 +16,8 @@ from wicketflow.llm.common import slices
 
 MARK = "▁"
 #: Chunks of text whose lattices a worker remembers; all go when it is full.
-REMEMBERED = 250_000
-SLICE = 2 << 20
+REMEMBERED = 400_000
+SLICE = 4 << 20
 
 
 class Pieces:
@@ -88,8 +88,8 @@ class Lattices:
     def clear(self) -> None:
         self.last: dict[str, int] = {}
         self.first = np.zeros(1, np.int64)
-        self.cumulative = np.empty(0)
-        self.before = np.empty(0, np.int64)
+        self.cumulative = np.empty(0, np.float32)
+        self.before = np.empty(0, np.int32)
         self.piece = np.empty(0, np.int32)
         self.fallback: list[list[int]] = []
         self.fallback_of: dict[int, int] = {}
@@ -160,9 +160,9 @@ class Lattices:
         into = np.bincount(end, minlength=len(chars))
         self.first = np.concatenate((self.first, edges + np.cumsum(into)))
         start, end = start[by], end[by]
-        self.cumulative = np.concatenate((self.cumulative, share[by]))
-        self.before = np.concatenate(
-            (self.before, np.where(start > begin[end], old + start - 1, -1)))
+        self.cumulative = np.concatenate((self.cumulative, share[by].astype(np.float32)))
+        came = np.where(start > begin[end], old + start - 1, -1)
+        self.before = np.concatenate((self.before, came.astype(np.int32)))
         self.piece = np.concatenate((self.piece, code[by]))
         self.last.update(zip(chunks, (old + close - 1).tolist(), strict=True))
 
@@ -186,7 +186,7 @@ class Lattices:
                 behind = behind[self.cumulative[at[behind]] <= drawn[behind]]
             steps.append((who, self.piece[at]))
             count[who] += 1
-            state = self.before[at]
+            state = self.before[at].astype(np.int64)
             going = state >= 0
             who, state = who[going], state[going]
             step += 1
@@ -246,14 +246,66 @@ def encode_rows(keys: list, texts: list[str | None], lattices: Lattices,
                                     pa.array(codes))
 
 
-def decode_ids(ids: list[int] | None, raw: list[bytes | None]) -> str | None:
-    """The text of some ids; None for null, for unknown ids and for broken UTF-8."""
-    if ids is None:
-        return None
-    try:
-        return b"".join(map(raw.__getitem__, ids))[1:].decode()
-    except (IndexError, TypeError, UnicodeDecodeError):
-        return None
+class Spelling:
+    """The bytes of all pieces in a row, for decoding many ids at once."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.raw = pieces.raw
+        self.size = np.array([-1 if r is None else len(r) for r in self.raw], np.int64)
+        self.start = np.cumsum(np.maximum(self.size, 0)) - np.maximum(self.size, 0)
+        self.blob = np.frombuffer(b"".join(r or b"" for r in self.raw), np.uint8)
+
+    def decode(self, rows: pa.ListArray) -> pa.Array:
+        """The text of each list of ids; null for null, unknown ids and broken UTF-8."""
+        offsets = np.asarray(rows.offsets, np.int64)
+        ids = np.asarray(rows.values)[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
+        if rows.values.null_count or len(ids) and (
+                ids.min() < 0 or ids.max() >= len(self.size) or self.size[ids].min() < 0):
+            return self._one_by_one(rows)
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        at = np.repeat(self.start[ids] - (ends - size), size) + np.arange(int(size.sum()))
+        data = self.blob[at]
+        bounds = np.concatenate(([0], ends))[offsets]
+        full = bounds[1:] > bounds[:-1]  # these begin with the mark that encoding put first
+        keep = np.ones(len(data), bool)
+        keep[bounds[:-1][full]] = False
+        sizes = np.diff(bounds) - full
+        whole = data[keep].tobytes()
+        places = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        try:
+            whole.decode()
+        except UnicodeDecodeError:
+            return self._one_by_one(rows)
+        known = None
+        if rows.null_count:
+            bits = np.packbits(np.asarray(rows.is_valid()), bitorder="little")
+            known = pa.py_buffer(bits.tobytes())
+        return pa.StringArray.from_buffers(
+            len(rows), pa.py_buffer(places.tobytes()), pa.py_buffer(whole), known)
+
+    def _one_by_one(self, rows: pa.ListArray) -> pa.Array:
+        made = []
+        for ids in rows.to_pylist():
+            try:
+                if ids is not None and any(i < 0 for i in ids):
+                    raise IndexError
+                made.append(None if ids is None
+                            else b"".join(self.raw[i] for i in ids)[1:].decode())
+            except (IndexError, TypeError, UnicodeDecodeError):
+                made.append(None)
+        return pa.array(made, pa.string())
+
+
+_KNOWN: dict[tuple[str, float], Lattices] = {}
+
+
+def lattices_of(model: str, alpha: float) -> Lattices:
+    """The worker's lattices, which later tasks of the same worker use again."""
+    if (model, alpha) not in _KNOWN:
+        _KNOWN[model, alpha] = Lattices(Pieces(model, alpha))
+    return _KNOWN[model, alpha]
 
 
 def encode(df: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = 0,
@@ -273,9 +325,8 @@ def encode(df: DataFrame, model: str, key: str = "doc_id", text: str = "text", s
     kind = dict(rows.dtypes)["key"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = None
+        lattices = lattices_of(model, alpha)
         for batch in batches:
-            lattices = lattices or Lattices(Pieces(model, alpha))
             for part in slices(batch, "text", SLICE):
                 ids = encode_rows(part.column("key").to_pylist(),
                                   part.column("text").to_pylist(), lattices, seed)
@@ -292,11 +343,12 @@ def decode(df: DataFrame, model: str, ids: str = "ids", out: str = "decoded") ->
         raise ValueError(f"there is a column called {out}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = None
+        spelling = Spelling(lattices_of(model, 1.0).pieces)
         for batch in batches:
-            raw = raw or Pieces(model, 1.0).raw
-            texts = [decode_ids(x, raw) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, out])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                texts = spelling.decode(part.column(ids))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts],
+                                                 names=[*part.schema.names, out])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))
