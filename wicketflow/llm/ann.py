@@ -28,8 +28,8 @@ class Hashing:
     """
 
     tables: int = 6
-    hashes: int = 6
-    width: float = 1.0
+    hashes: int = 8
+    width: float = 2.0
     radius: float = 1.1
     mass: float = 0.55
     seed: int = 1
