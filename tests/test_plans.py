@@ -26,9 +26,25 @@ def test_one_hot(spark):
     df = spark.createDataFrame([("x",), ("y",), (None,)], "c string")
     encoder = fit_one_hot(df, ["c"])
     seen = encoder.transform(df.union(spark.createDataFrame([("new",)], "c string")))
-    assert rows(seen) == [(None, 0, 0, 1), ("new", 0, 0, 0), ("x", 1, 0, 0), ("y", 0, 1, 0)]
-    with pytest.raises(ValueError):
-        fit_one_hot(df, ["c"], max_categories=2)
+    assert rows(seen) == [(None, 3), ("new", 0), ("x", 1), ("y", 2)]
+    assert rows(encoder.flags(seen.drop("c_index"), {"c": ("x", "y", None)})) == [
+        (None, 0, 0, 1), ("new", 0, 0, 0), ("x", 1, 0, 0), ("y", 0, 1, 0)]
+
+
+def test_one_hot_of_many_values(spark):
+    df = spark.range(5000).select(F.format_string("v%05d", "id").alias("c"), F.lit(1).alias("d"))
+    got = fit_one_hot(df, ["c", "d"]).transform(df)
+    assert got.filter("c_index <> cast(substr(c, 2) as int) + 1 or d_index <> 1").count() == 0
+    assert got.count() == 5000
+
+
+def test_boosted_trees_take_any_number_of_categories(spark):
+    df = spark.range(900).selectExpr(
+        "concat('city', id % 300) as city", "id % 3 as n", "cast(id % 7 as double) as total_points")
+    plan = models.ModelPlan(categorical=("city",), numeric=("n",), folds=2, search={
+        "gbt_cat": {"maxDepth": [2], "maxIter": [2, 3]}})
+    model = models.fit_model("gbt_cat", df, plan)
+    assert models.predict(model, df).filter("pred_points is null").count() == 0
 
 
 def test_split(spark):

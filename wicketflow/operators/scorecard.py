@@ -20,6 +20,7 @@ from wicketflow.functions.text import clean_name
 NOT_BOWLED_OUT = ("run out", "retired hurt")
 
 KEYS = ("matchid", "playername")
+SIDE = ("innings", "battingteam", "bowlingteam")
 BATTING = ("total_runs", "total_balls_faced", "total_legal_balls_faced", "run_6", "run_4",
            "fallofwickets")
 BATTING_SIDE = ("batsmen_innings", "batsmen_battingteam", "batsmen_bowlingteam")
@@ -59,13 +60,22 @@ def _seen_by(deliveries: DataFrame, *views: list[Column]) -> DataFrame:
 
 
 def _per_over(balls: DataFrame) -> DataFrame:
-    """Totals per match, player, point of view and over number."""
-    per_ball = balls.groupBy(*KEYS, "bats", "over").agg(
+    """Totals per match, player, point of view and over number, and rows with `is_side`: the
+    innings and teams that the player took part in.
+
+    Both come from one pass. The sides of a ball are few, so they shrink to almost nothing
+    before the shuffle.
+    """
+    view = [F.col(c) for c in (*KEYS, "bats")]
+    side = [F.col(c) for c in SIDE]
+    per_ball = balls.groupingSets(
+        [[*view, F.col("over")], [*view, *side]], *view, F.col("over"), *side).agg(
+        (F.grouping("over") == 1).alias("is_side"),
         F.sum("runs").alias("runs"), F.count("over").alias("balls"),
         F.count_if("six").alias("sixes"), F.count_if("four").alias("fours"),
         F.count_if("wicket").alias("wickets"), F.min("wickets_down").alias("wickets_down"))
     over_number = F.col("over").cast("int").alias("over_num")
-    return per_ball.groupBy(*KEYS, "bats", over_number).agg(
+    return per_ball.groupBy(*KEYS, "bats", "is_side", *SIDE, over_number).agg(
         total(F.col("runs")).alias("runs"), F.sum("balls").alias("balls"),
         F.count("over").alias("legal_balls"), F.sum("sixes").alias("sixes"),
         F.sum("fours").alias("fours"), F.sum("wickets").alias("wickets"),
@@ -77,11 +87,19 @@ def _totals(overs: DataFrame, *names: str) -> DataFrame:
 
     Columns of a view in which the player does not appear come out null.
     """
+    bats = F.col("bats") & ~F.col("is_side")
+    bowls = ~F.col("bats") & ~F.col("is_side")
+
     def batting(value):
-        return F.sum(F.when(F.col("bats"), F.col(value)))
+        return F.sum(F.when(bats, F.col(value)))
 
     def bowling(value):
-        return F.sum(F.when(~F.col("bats"), F.col(value)))
+        return F.sum(F.when(bowls, F.col(value)))
+
+    def sides(of_batter):
+        # At most one entry per innings and pair of teams, so these lists are short.
+        return F.collect_list(F.when(F.col("is_side") & (F.col("bats") == of_batter),
+                                     F.struct(*SIDE)))
 
     maiden = F.when(F.col("over_num").isNull(), 0).otherwise((F.col("runs") == 0).cast("bigint"))
     formulas = {
@@ -95,14 +113,17 @@ def _totals(overs: DataFrame, *names: str) -> DataFrame:
         "total_balls_bowled": bowling("balls"),
         "total_legal_balls_bowled": bowling("legal_balls"),
         "total_runs_given": bowling("runs").cast("double"),
-        "maiden_overs": F.sum(F.when(~F.col("bats"), maiden)),
+        "maiden_overs": F.sum(F.when(bowls, maiden)),
+        "_bat": sides(True),
+        "_bowl": sides(False),
     }
     return overs.groupBy(*KEYS).agg(*[formulas[n].alias(n) for n in names])
 
 
-def _sides(balls: DataFrame) -> DataFrame:
-    """Innings and teams a player took part in: mostly one row per match, sometimes more."""
-    return balls.select(*KEYS, "bats", "innings", "battingteam", "bowlingteam").distinct()
+def _with_sides(card: DataFrame, sides: str, names: tuple[str, ...]) -> DataFrame:
+    """A row per innings and teams in the list `sides`: mostly one per match, sometimes more."""
+    return (card.withColumn(sides, F.explode_outer(sides))
+            .withColumns({n: F.col(f"{sides}.{f}") for f, n in zip(SIDE, names)}).drop(sides))
 
 
 def _economy() -> Column:
@@ -111,16 +132,14 @@ def _economy() -> Column:
 
 def batting_summary(deliveries: DataFrame) -> DataFrame:
     """Runs, balls, boundaries, batting position, innings and teams per match and batter."""
-    balls = _seen_by(deliveries, _as_batter())
-    sides = _sides(balls).drop("bats").toDF(*KEYS, *BATTING_SIDE)
-    return _totals(_per_over(balls), *BATTING).join(sides, list(KEYS), "left")
+    overs = _per_over(_seen_by(deliveries, _as_batter()))
+    return _with_sides(_totals(overs, *BATTING, "_bat"), "_bat", BATTING_SIDE)
 
 
 def bowling_summary(deliveries: DataFrame) -> DataFrame:
     """Wickets, balls, runs, maidens, economy, innings and teams per match and bowler."""
-    balls = _seen_by(deliveries, _as_bowler())
-    sides = _sides(balls).drop("bats").toDF(*KEYS, *BOWLING_SIDE)
-    return (_totals(_per_over(balls), *BOWLING).join(sides, list(KEYS), "left")
+    overs = _per_over(_seen_by(deliveries, _as_bowler()))
+    return (_with_sides(_totals(overs, *BOWLING, "_bowl"), "_bowl", BOWLING_SIDE)
             .withColumn("economy_rate", _economy()))
 
 
@@ -140,26 +159,16 @@ def merge_summaries(batting: DataFrame, bowling: DataFrame) -> DataFrame:
 
 
 def match_card(deliveries: DataFrame) -> DataFrame:
-    """The merged summaries in one pass over the deliveries, without an outer join.
+    """The merged summaries in one pass over the deliveries, without a join.
 
-    Equal to `merge_summaries(batting_summary(d), bowling_summary(d))`: totals of
-    both views come from one aggregation, and the sides are a second, much
-    smaller one on the same keys.
+    Equal to `merge_summaries(batting_summary(d), bowling_summary(d))`: totals and sides of
+    both views come from one aggregation.
     """
-    balls = _seen_by(deliveries, _as_batter(), _as_bowler())
-    side = F.struct("innings", "battingteam", "bowlingteam")
-    # At most one entry per innings and pair of teams, so these lists are short.
-    sides = _sides(balls).groupBy(*KEYS).agg(
-        F.collect_list(F.when(F.col("bats"), side)).alias("_bat"),
-        F.collect_list(F.when(~F.col("bats"), side)).alias("_bowl"))
-    joined = _totals(_per_over(balls), *BATTING, *BOWLING).join(sides, list(KEYS))
-    split = (joined.withColumn("_bat", F.explode_outer("_bat"))
-             .withColumn("_bowl", F.explode_outer("_bowl")))
-    fields = ("innings", "battingteam", "bowlingteam")
-    return split.select(
-        *KEYS, *BATTING, *[F.col(f"_bat.{f}").alias(n) for f, n in zip(fields, BATTING_SIDE)],
-        *BOWLING, *[F.col(f"_bowl.{f}").alias(n) for f, n in zip(fields, BOWLING_SIDE)],
-        _economy().alias("economy_rate"))
+    overs = _per_over(_seen_by(deliveries, _as_batter(), _as_bowler()))
+    totals = _totals(overs, *BATTING, *BOWLING, "_bat", "_bowl")
+    card = _with_sides(_with_sides(totals, "_bat", BATTING_SIDE), "_bowl", BOWLING_SIDE)
+    return card.select(*KEYS, *BATTING, *BATTING_SIDE, *BOWLING, *BOWLING_SIDE,
+                       _economy().alias("economy_rate"))
 
 
 def player_role(card: DataFrame, rules: RoleRules = RoleRules()) -> DataFrame:
