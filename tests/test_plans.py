@@ -112,14 +112,16 @@ def test_train_predict_and_back_test(spark, tmp_path):
     tables = Tables(str(tmp_path))
     small = models.ModelPlan(draws=1, search={"gbt_cat": {"maxDepth": [3], "maxIter": [3]}})
     paths = train(balls, matches, tables, ["movingaverage", "gbt_cat"],
-                  rules=Rules(model=small), fit_scaler_on="train", use_forecast=True)
+                  rules=Rules(model=small), fit_scaler_on="train", use_forecast=True,
+                  costs=views.players(spark, SF))
     assert set(paths) == {"gbt_cat"}
-    costs = views.players(spark, SF).select("matchid", "playername", "playercost")
-    frame = tables.read(spark, "features").join(costs, ["matchid", "playername"])
+    frame = tables.read(spark, "features")
     wide = full.predict_all(frame, paths, ["movingaverage", "gbt_cat"], blend=True)
     assert {"pred_points_movingaverage", "pred_points_gbt_cat", "pred_points"} <= set(wide.columns)
     assert wide.count() == frame.count()
-    result = full.backtest(tables.write(wide, "wide"), matches)
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Join" not in plan
+    result = full.backtest(wide, matches)
     assert result.matches.count() == frame.select("matchid").distinct().count()
     counted = result.matches.filter("pred_selection_cnt = 11")
     assert counted.count() > 0 and counted.filter("error < -1e-9 or error is null").count() == 0

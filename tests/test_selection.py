@@ -135,11 +135,41 @@ def test_missing_cost_is_free_and_missing_points_are_zero(spark):
     assert sel.team_summary(sel.best_teams(none, "pred_points")).first().team_points == 0
 
 
-def test_costs_off_the_grid_are_an_error(spark):
-    with pytest.raises(Exception, match="not a multiple"):
-        sel.best_teams(frame(spark, cost=8.3), "pred_points").collect()
-    finer = SelectionLimits(cost_steps=10)
-    assert sel.best_teams(frame(spark, cost=8.3), "pred_points", finer).count() == 11
+@pytest.mark.parametrize("cost", [8.3, -1.0])
+def test_costs_off_the_grid_and_below_zero(spark, cost):
+    df = frame(spark, cost=cost)
+    got = sel.team_summary(sel.best_teams(df, "pred_points")).first()
+    finer = SelectionLimits(cost_steps=10) if cost > 0 else LIMITS
+    same = df.withColumn("playercost", F.greatest("playercost", F.lit(0.0)))
+    want = sel.team_summary(sel.best_teams(same, "pred_points", finer)).first()
+    assert got.players == 11 and got.team_points == want.team_points
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_any_cost_against_every_subset(seed):
+    rng = np.random.default_rng(seed)
+    limits = SelectionLimits(exact=seed % 3 == 2, max_cost=70)
+    for _ in range(4):
+        n = rng.integers(10, 15)
+        points = rng.integers(-8, 60, n).astype(float)
+        steps = rng.normal(14, 7, n)
+        roles, slots = rng.integers(0, 4, n), rng.integers(0, 3 if seed % 2 else 2, n)
+        best = brute_force(points, steps, roles, slots, limits)
+        picked = sel.solve(points, steps, roles, slots, limits)
+        assert (picked is None) == (best is None)
+        if picked is not None:
+            assert points[picked].sum() == pytest.approx(best)
+            assert steps[picked].sum() <= limits.max_cost * limits.cost_steps + 1e-6
+            assert len(set(picked)) == len(picked) <= limits.max_players
+
+
+def test_not_a_number_is_a_missing_value(spark):
+    df = frame(spark)
+    odd = df.withColumn("pred_points", F.when(F.col("playername") == "p00003", F.lit(float("nan")))
+                        .otherwise(F.col("pred_points")))
+    none = df.withColumn("pred_points", F.when(F.col("playername") != "p00003", F.col("pred_points")))
+    assert sel.team_summary(sel.best_teams(odd, "pred_points")).first() == \
+        sel.team_summary(sel.best_teams(none, "pred_points")).first()
 
 
 def test_a_name_given_twice_counts_once(spark):

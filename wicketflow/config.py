@@ -54,7 +54,8 @@ class SelectionLimits:
     max_per_team: int = 7
     roles: tuple[RoleLimits, ...] = (
         RoleLimits("Batsmen", 3, 7), RoleLimits("Bowler", 3, 6), RoleLimits("AllRounder", 1, 4))
-    # Costs are multiples of 1 / cost_steps; the solver works on whole steps.
+    # Matches whose costs are multiples of 1 / cost_steps are solved by a table of whole steps,
+    # others by lists of the costs that occur.
     cost_steps: int = 2
     # False: at most max_players may be picked. True: exactly that many.
     exact: bool = False
@@ -64,6 +65,7 @@ class SelectionLimits:
 class RoleRules:
     """Mean balls per match that make a player a batter, bowler or both."""
 
+    # Fixed values.
     min_balls_faced: float = 8
     min_balls_bowled: float = 6
 
@@ -113,7 +115,7 @@ class Columns:
     actual_rank: str = "actual_selection_rank"
 
 
-# Columns the models learn from.
+# Columns the models learn from.
 CATEGORICAL = ("playing_team", "playing_role", "opposition_team", "city")
 NUMERIC = (
     "home_game", "toss_flag", "player_match_count",

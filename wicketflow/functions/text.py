@@ -17,9 +17,9 @@ def first_piece(col: Column, separator: str) -> Column:
 
 
 def whole_numbers(col: Column) -> Column:
-    """Every whitespace-separated token made of digits, as integers."""
+    """Every whitespace-separated token made of digits, as integers; null beyond their range."""
     tokens = F.filter(F.split(col, r"\s+"), lambda t: t.rlike("^[0-9]+$"))
-    return F.transform(tokens, lambda t: t.cast("int"))
+    return F.transform(tokens, lambda t: t.try_cast("int"))
 
 
 def url_segment(col: Column, index: int) -> Column:

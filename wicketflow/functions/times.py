@@ -9,7 +9,8 @@ ISO_MINUTES = "yyyy-MM-dd'T'HH:mmXXX"
 
 
 def parse_start(col: Column) -> Column:
-    return F.to_timestamp(col, ISO_MINUTES)
+    """Null for an empty text or another form."""
+    return F.try_to_timestamp(col, F.lit(ISO_MINUTES))
 
 
 def start_date(col: Column) -> Column:

@@ -18,10 +18,17 @@ from wicketflow.operators.backtest import captaincy
 
 
 def fill_candidates(df: DataFrame, points: str, cols: Columns = Columns()) -> DataFrame:
-    """Candidates with missing points and cost as 0, and missing team and role as their own."""
+    """Candidates with missing points and cost as 0, and missing team and role as their own.
+
+    Not a number counts as missing.
+    """
+    def number(column):
+        value = F.col(column).cast("double")
+        return F.coalesce(F.when(~F.isnan(value), value), F.lit(0.0))
+
     return df.select(
-        cols.match, cols.player, F.coalesce(points, F.lit(0)).cast("double").alias("points"),
-        F.coalesce(cols.cost, F.lit(0)).cast("double").alias("cost"),
+        cols.match, cols.player, number(points).alias("points"),
+        number(cols.cost).alias("cost"),
         F.coalesce(cols.role, F.lit("")).alias("role"),
         F.coalesce(cols.team, F.lit("")).alias("team"))
 
@@ -40,10 +47,11 @@ def candidates(df: DataFrame, points: str, limits: SelectionLimits = SelectionLi
             .agg(F.max(F.struct("points", "cost", "role", "team")).alias("p"))
             .select(cols.match, cols.player, "p.*"))
     teams = (filled.groupBy(cols.match).agg(F.min("team").alias("first_team"),
-                                            F.max("team").alias("last_team"))
+                                            F.max("team").alias("last_team"),
+                                            F.sum(F.least("cost", F.lit(0.0))).alias("refund"))
              .filter("first_team <> last_team"))
-    steps = F.round(F.col("cost") * limits.cost_steps)
-    on_grid = (F.col("cost") >= 0) & (F.abs(steps - F.col("cost") * limits.cost_steps) < 1e-9)
+    exact = F.col("cost") * limits.cost_steps
+    steps = F.when(F.abs(F.round(exact) - exact) < 1e-9, F.round(exact)).otherwise(exact)
     role = F.lit(len(limits.roles))
     need = F.lit(limits.max_players)
     for number, r in enumerate(limits.roles):
@@ -52,15 +60,15 @@ def candidates(df: DataFrame, points: str, limits: SelectionLimits = SelectionLi
         need = F.when(is_role, min(r.at_most, limits.max_players)).otherwise(need)
     known = once.join(teams, cols.match).select(
         cols.match, cols.player, "points",
-        F.when(on_grid, steps.cast("int")).otherwise(F.raise_error(F.lit(
-            "player cost is negative or not a multiple of 1 / cost_steps"))).alias("steps"),
+        steps.alias("steps"),
         role.alias("role"), need.alias("need"),
         F.when(F.col("team") == F.col("first_team"), 0)
-        .when(F.col("team") == F.col("last_team"), 1).otherwise(2).alias("slot"))
+        .when(F.col("team") == F.col("last_team"), 1).otherwise(2).alias("slot"), "refund")
     alike = Window.partitionBy(cols.match, "slot", "role", "steps").orderBy(
         F.col("points").desc(), F.col(cols.player).desc())
-    return (known.filter(F.col("steps") <= int(limits.max_cost * limits.cost_steps))
-            .withColumn("_rank", F.row_number().over(alike))
+    # Players of negative cost pay for others, all of them together for `refund` at most.
+    affordable = F.col("steps") <= (F.lit(limits.max_cost) - F.col("refund")) * limits.cost_steps
+    return (known.filter(affordable).drop("refund").withColumn("_rank", F.row_number().over(alike))
             .filter(F.col("_rank") <= limits.max_players)
             .filter(F.col("_rank") <= F.col("need")).drop("_rank", "need"))
 
@@ -75,6 +83,9 @@ def _best_by_count_and_cost(points, steps, most: int, budget: int) -> list[np.nd
     tables = [table]
     for value, cost in zip(points, steps):
         grown = tables[-1].copy()
+        if cost > budget:
+            tables.append(grown)
+            continue
         np.maximum(grown[1:, cost:], tables[-1][:-1, :budget + 1 - cost] + value,
                    out=grown[1:, cost:])
         tables.append(grown)
@@ -100,6 +111,74 @@ def _members(tables: list[np.ndarray], rows: np.ndarray, steps, count: int, cost
     return picked
 
 
+def _pay_off(cost: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Entries with more points than every cheaper one, in order of cost."""
+    order = np.lexsort((-points, cost))
+    ranked = points[order]
+    best = np.concatenate(([NONE], np.maximum.accumulate(ranked)[:-1]))
+    return order[ranked > best]
+
+
+def _joined(fronts: dict, more: dict, fits) -> dict:
+    """Sums of two families of fronts, {counts: (cost, points, members)}, cut to what pays off."""
+    sums: dict[tuple, list] = {}
+    for a, (cost_a, points_a, members_a) in fronts.items():
+        for b, (cost_b, points_b, members_b) in more.items():
+            counts = tuple(x + y for x, y in zip(a, b))
+            if fits(counts):
+                sums.setdefault(counts, []).append((
+                    np.add.outer(cost_a, cost_b).ravel(), np.add.outer(points_a, points_b).ravel(),
+                    members_a, members_b))
+    out = {}
+    for counts, parts in sums.items():
+        cost = np.concatenate([p[0] for p in parts])
+        value = np.concatenate([p[1] for p in parts])
+        ends = np.cumsum([len(p[0]) for p in parts])
+        kept = _pay_off(cost, value)
+        members = []
+        for place in kept:
+            part = int(np.searchsorted(ends, place, side="right"))
+            _, _, left, right = parts[part]
+            i, j = divmod(int(place - (ends[part - 1] if part else 0)), len(right))
+            members.append(left[i] + right[j])
+        out[counts] = cost[kept], value[kept], members
+    return out
+
+
+def _solve_any_cost(points, steps, roles, slots, limits: SelectionLimits):
+    """As `solve`, for costs that are negative or off the grid.
+
+    Instead of a table by cost it keeps, for each number of players per team, the costs at
+    which the points grow: exact for any costs, but such a list is not bounded by the budget.
+    """
+    players = limits.max_players
+    caps = (min(limits.max_per_team, players),) * 2 + (players,)
+    bounds = [(r.at_least, min(r.at_most, players)) for r in limits.roles] + [(0, players)]
+
+    def fits(counts):
+        return sum(counts) <= players and all(c <= cap for c, cap in zip(counts, caps))
+
+    nobody = {(0, 0, 0): (np.zeros(1), np.zeros(1), [()])}
+    team = nobody
+    for role, (least, most) in enumerate(bounds):
+        part = nobody
+        for row in np.flatnonzero(roles == role):
+            one = tuple(int(slots[row] == s) for s in range(3))
+            choice = {**nobody, one: (steps[row:row + 1], points[row:row + 1], [(int(row),)])}
+            part = _joined(part, choice, lambda c: fits(c) and sum(c) <= most)
+        part = {c: front for c, front in part.items() if sum(c) >= least}
+        team = _joined(team, part, fits)
+    budget = limits.max_cost * limits.cost_steps + 1e-9
+    best = None
+    for counts, (cost, value, members) in sorted(team.items()):
+        if limits.exact and sum(counts) != players:
+            continue
+        for c, v, m in zip(cost, value, members):
+            if c <= budget and (best is None or v > best[0]):
+                best = v, m
+    return None if best is None else sorted(best[1])
+
+
 def solve(points, steps, roles, slots, limits: SelectionLimits = SelectionLimits()):
     """Row numbers of an optimal team, or None when the limits cannot be met.
 
@@ -107,9 +186,13 @@ def solve(points, steps, roles, slots, limits: SelectionLimits = SelectionLimits
     the teams' entries within the role's bounds. Across roles only the players
     per team and the cost matter, so the state stays small.
     """
-    points, steps = np.asarray(points, float), np.asarray(steps, int)
+    points, steps = np.asarray(points, float), np.asarray(steps, float)
     roles, slots = np.asarray(roles, int), np.asarray(slots, int)
+    if (steps < 0).any() or (steps != np.round(steps)).any():
+        return _solve_any_cost(points, steps, roles, slots, limits)
     budget = int(limits.max_cost * limits.cost_steps)
+    # A player above the budget cannot be afforded, even beside free ones.
+    steps = np.minimum(steps, budget + 1).astype(int)
     per_team, players = min(limits.max_per_team, limits.max_players), limits.max_players
     others = players if (slots == 2).any() else 0
     caps = (per_team, per_team, others)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from wicketflow.config import Cleaning, Columns, FeatureRules, SelectionLimits
 from wicketflow.functions.text import canonical
 from wicketflow.operators.features import add_teams, features, recent_squad
-from wicketflow.operators.joins import append_outer, keep_known, lookup_join, null_safe_join
-from wicketflow.operators.selection import select_team
+from wicketflow.operators.joins import append_outer, keep_known, lookup_join
+from wicketflow.operators.selection import best_teams
+from wicketflow.session import stage
 
 REPORT_KEYS = ("matchid", "playername", "playing_role", "playing_team", "playercost")
 
@@ -68,13 +69,13 @@ def restrict_to_squad(frame: DataFrame, announced: DataFrame | None,
 def pick_per_model(frame: DataFrame, models, limits: SelectionLimits = SelectionLimits(),
                    cols: Columns = Columns()) -> DataFrame:
     """A prediction and a pick column per model, for a frame with `pred_points_<model>` columns."""
-    wide = frame.select(*REPORT_KEYS)
-    for m in models:
-        points, pick = f"{cols.pred_points}_{m}", f"{cols.pred_pick}_{m}"
-        chosen = select_team(frame.select(*REPORT_KEYS, points), points, pick, "_rank", limits,
-                             cols=cols).drop("_rank")
-        wide = null_safe_join(wide, chosen, REPORT_KEYS)
-    return wide
+    names = [(f"{cols.pred_points}_{m}", f"{cols.pred_pick}_{m}") for m in models]
+    wide = stage(frame.select(*REPORT_KEYS, *[points for points, _ in names]), "report")
+    for points, pick in names:
+        marks = best_teams(wide, points, limits, cols).select(
+            cols.match, cols.player, F.lit(1.0).alias(pick))
+        wide = wide.join(marks, [cols.match, cols.player], "left")
+    return wide.select(*REPORT_KEYS, *[c for pair in names for c in pair])
 
 
 def selection_report(wide: DataFrame, first: str = "catboost",

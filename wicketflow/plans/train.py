@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wicketflow.config import Cleaning, FeatureRules, PointsRules, RoleRules
 from wicketflow.operators.features import features
@@ -51,14 +52,22 @@ def score_deliveries(deliveries: DataFrame, rules: Rules = Rules()) -> DataFrame
 
 def train(deliveries: DataFrame, matches: DataFrame, tables: Tables, models,
           hold_out_years=(2019,), rules: Rules = Rules(), fit_scaler_on: str = "all",
-          use_forecast: bool = False) -> dict[str, str]:
+          use_forecast: bool = False, costs: DataFrame | None = None) -> dict[str, str]:
     """Score, build features, fit and save the named models; returns the model paths.
 
+    `costs` (matchid, playername, playercost) adds each player's cost, which picking teams
+    needs; the greatest one counts if a player has several. Without it the cost is null.
     `fit_scaler_on`: `all` also uses the held-out years, `train` only the training rows.
     `use_forecast` adds the walk-forward forecast of each player as a predictor.
     """
     points = tables.write(score_deliveries(deliveries, rules), "points")
     frame = features(points, matches, rules.cleaning, rules.features)
+    if costs is None:
+        frame = frame.withColumn("playercost", F.lit(None).cast("double"))
+    else:
+        keys = ["matchid", "playername"]
+        frame = frame.join(costs.groupBy(*keys).agg(
+            F.max(F.col("playercost").cast("double")).alias("playercost")), keys, "left")
     plan = rules.model
     if use_forecast:
         frame = walk_forward(frame, "playername", "matchid", plan.target)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from wicketflow.config import RewardRules
 
 DELIVERIES = """
 with b as (
@@ -217,8 +216,13 @@ BACK = SCORE + [("squads", SQUADS), ("players", PLAYERS), ("base", """
           as actual_points_player,
         cast(coalesce(sum(pred_selection_true), 0) as double) as pred_selection_cnt
       from armband group by 1)"""),
-    ("earned", "select *, cast(case when error is null then 0 " + " ".join(
-        f"when error < {bound} then {(prize - 1) * 50}" for bound, prize in RewardRules().bands)
+    ("earned", "select *, cast(case when error is null then 0 " + " ".join((
+        # Fixed values of the prize table: 50 times (multiple - 1).
+        "when error < 0.01 then 249950", "when error < 0.02 then 149950",
+        "when error < 0.03 then 24950", "when error < 0.04 then 9950",
+        "when error < 0.05 then 4950", "when error < 0.06 then 3950",
+        "when error < 0.08 then 950", "when error < 0.1 then 350",
+        "when error < 0.15 then 75", "when error < 0.2 then 50", "when error < 0.25 then 0"))
         + " else -50 end as double) as rewards_earned from errors")]
 
 FEED = BASE + [("feed", """
