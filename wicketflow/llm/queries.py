@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wicketflow.llm import (
-    ann, linededup, packing, pieces, quality, secrets, simhash, template, toxicity, warc,
+    ann, bpe, linededup, packing, pieces, quality, secrets, simhash, template, toxicity, warc,
 )
 from wicketflow.session import fresh_path, stage
 
@@ -106,9 +106,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    return made.select(
+        "doc_id", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scans, op2_nearest_neighbours, op3_simhash_near_dedup,
         op4_quality_rules, op5_line_dedup, op6_toxicity,
-        op7_html_extraction, op8_packing, op9_warc, op10_sentencepiece)
+        op7_html_extraction, op8_packing, op9_warc, op10_sentencepiece, op11_bpe)
 }
