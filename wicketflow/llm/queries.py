@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wicketflow.llm import (
-    ann, bpe, linededup, packing, pieces, quality, secrets, simhash, template, toxicity, warc,
+    ann, bpe, codes, linededup, packing, pieces, quality, secrets, simhash, template, toxicity, warc,
 )
 from wicketflow.session import fresh_path, stage
 
@@ -116,9 +116,14 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scans, op2_nearest_neighbours, op3_simhash_near_dedup,
         op4_quality_rules, op5_line_dedup, op6_toxicity,
-        op7_html_extraction, op8_packing, op9_warc, op10_sentencepiece, op11_bpe)
+        op7_html_extraction, op8_packing, op9_warc, op10_sentencepiece, op11_bpe,
+        op13_vector_codes)
 }
