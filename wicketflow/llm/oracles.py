@@ -71,4 +71,83 @@ select page_id, size::bigint payload_bytes,
 from b
 """
 
-ORACLES = {"op1_secret_scans": SECRETS, "op5_line_dedup": LINES, "op9_warc": WARC}
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd rounds as a chain of tables: b0, a0, b1, a1 ... for codebooks and assignments."""
+    steps = [f"""
+k as materialized (
+  select row_number() over (order by vec_id, embedding) rid, vec_id, label,
+         list_transform(embedding, lambda x: floor(x::double * 4096)::bigint) v
+  from embeddings where embedding is not null and len(list_filter(
+    embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+x as materialized (
+  select rid, p part, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] v
+  from k, range({parts}) t(p)),
+b0 as materialized (select part, rid - 1 entry, v from x where rid <= {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} as materialized (
+  select rid, x.part, any_value(x.v) v, min((list_sum(list_transform(
+    list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint, entry)) best
+  from x join b{i} b on x.part = b.part group by rid, x.part)""")
+        if i < rounds:
+            steps.append(f"""
+b{i + 1} as materialized (
+  select b.part, b.entry, coalesce(m.v, b.v) v from b{i} b left join (
+    select part, entry, list(((s - ((s % n) + n) % n) // n)::bigint order by place) v from (
+      select part, best[2] entry, place, sum(v[place])::bigint s, count(*) n
+      from a{i}, unnest(range(1, len(v) + 1)) t(place) group by all) group by all) m
+  on b.part = m.part and b.entry = m.entry)""")
+    return f"""
+with {",".join(steps)},
+s as (select sha256(string_agg(array_to_string(v, ','), ',' order by part, entry)) sha
+      from b{rounds}),
+e as (select rid, string_agg(format('{{:02x}}', best[2]), '' order by part) code,
+             sum(best[1])::bigint error from a{rounds} group by rid)
+select vec_id, code, error, sum(error) over (partition by label)::bigint label_error,
+       sha codebooks_sha256
+from e join k using (rid), s
+"""
+
+
+
+
+def _crc32_table() -> list[int]:
+    """The checksum of each byte value, from the reflected polynomial."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ 0xEDB88320 * (value & 1)
+        table.append(value)
+    return table
+
+
+TRIE = f"""
+with t as (select conv_id c, coalesce(role, '') r, coalesce(text, '') x,
+                  row_number() over (partition by conv_id order by turn nulls first, sha256(
+                    concat(strlen(coalesce(role, '')), ':', role, text))) place
+           from conversations where conv_id is not null),
+o as (select c, list((r, x) order by place) own,
+             xor(4294967295::bigint, list_reduce(list_concat([4294967295::bigint],
+               list_transform(string_split(c::varchar, ''), lambda s: ascii(s)::bigint)),
+               lambda a, b: xor(a >> 8, {_crc32_table()}[1 + (xor(a, b) & 255)]::bigint))) % 6 h
+      from t group by c),
+p as (select o.c, list_concat(coalesce(b.own, [])[:o.h], o.own[o.h + 1:]) path
+      from o left join o b on b.c = o.c - o.c % 100),
+n as materialized (select path[:d] node, d, min(c) conv_id, count(*) n,
+             string_agg(c, ',' order by c) filter (d = len(path)) ends,
+             count(*) = count(*) filter (d = len(path)) leaf
+      from p, unnest(range(len(path) + 1)) u(d) group by all),
+s as (select node[:a] node, sum(leaf::int) leaves,
+             sum(case when d > 0 then (n - 1) * length(node[d][2]) else 0 end) saved,
+             count(*) filter (d = a + 1) children
+      from n, unnest(range(d + 1)) u(a) group by node[:a])
+select n.conv_id, n.d::bigint depth, above.conv_id parent_conv_id, n.n n_convs,
+       children n_children, leaves::bigint n_leaves, saved::bigint saved_tokens,
+       sha256(coalesce(n.ends, '')) ends_sha256
+from n join s using (node) left join n above on n.d > 0 and above.node = n.node[:n.d - 1]
+"""
+
+ORACLES = {"op1_secret_scans": SECRETS, "op5_line_dedup": LINES, "op9_warc": WARC,
+           "op12_conversation_trie": TRIE, "op13_vector_codes": _vector_codes()}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wicketflow.llm import (
-    ann, bpe, codes, linededup, packing, pieces, quality, secrets, simhash, template, toxicity, warc,
+    ann, bpe, codes, linededup, packing, pieces, prefixes, quality, secrets, simhash, template, toxicity, warc,
 )
 from wicketflow.session import fresh_path, stage
 
@@ -116,6 +116,10 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -125,5 +129,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_secret_scans, op2_nearest_neighbours, op3_simhash_near_dedup,
         op4_quality_rules, op5_line_dedup, op6_toxicity,
         op7_html_extraction, op8_packing, op9_warc, op10_sentencepiece, op11_bpe,
-        op13_vector_codes)
+        op12_conversation_trie, op13_vector_codes)
 }
