@@ -67,11 +67,12 @@ def test_long_texts_in_parts(path, library, monkeypatch):
 
 
 def test_forgetting_changes_nothing(path, documents, library, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 20_000)
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 40_000)
     mine = bpe.Encoder(path)
     for r in documents.limit(40).collect():
         assert mine.encode(r.text or "") == wanted(library, r.text)[0]
-    assert mine.held <= 20_000
+    assert mine.held <= 40_000 and mine.held == sum(
+        len(p) + len(ids) + bpe.ENTRY_BYTES for p, ids in mine.known.items())
 
 
 def test_merges_against_the_plain_rule():

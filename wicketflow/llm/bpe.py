@@ -17,19 +17,16 @@ from pyspark.sql import types as T
 
 from wicketflow.llm.common import append_columns
 
-#: Bytes of remembered units and of their ids that a Python worker keeps; the oldest half goes.
-REMEMBERED_BYTES = 176 << 20
+#: Bytes of remembered pieces and their ids that a Python worker keeps; then the older ones go.
+REMEMBERED_BYTES = 96 << 20
 #: What an entry of a dictionary holds beside its bytes, about.
 ENTRY_BYTES = 150
-#: Longer units are encoded anew each time.
-LONG_UNIT = 256
-#: Characters of a text that are cut into units at a time.
+#: Characters of a text that are cut into pieces at a time.
 PART = 1 << 20
 #: Remembered answers about pairs of tokens.
 PAIRS = 300_000
 
-#: A space that white space both precedes and follows (or ends): there a unit may not end.
-_RUN = re.compile(r"\s (?:\s|\Z)")
+#: Between pieces: before a space behind something else.
 _CUT = re.compile(r"(?<=\S)(?= )")
 #: Fixed: how byte-level BPE splits a text into the pieces that it merges.
 _PIECES = regex.compile(
@@ -157,17 +154,15 @@ class Merges:
 class Encoder:
     """Ids of whole texts, as the tokenizers library gives them for the same file.
 
-    A text is cut at its special tokens and then before spaces into units, which no id spans;
-    each unit is split as the file's pre-tokenizer does and its pieces are encoded by `Merges`.
-    Units and pieces are remembered up to a number of bytes.
+    A text is cut at its special tokens, then into pieces as the file's pre-tokenizer does,
+    and each distinct piece is encoded by `Merges`. Pieces are remembered up to a number of
+    bytes.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as file:
-            told = json.load(file)
-        _check(told)
+        told = _plain_file(path)
         model = told["model"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.merges = Merges(model["vocab"], pairs)
@@ -175,17 +170,15 @@ class Encoder:
         special = sorted((t["content"] for t in told["added_tokens"]), key=len, reverse=True)
         self.special = {t["content"]: _bytes([t["id"]]) for t in told["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.held = 0
-        self.offsets, self.blob = _offset_table(model["vocab"], told["added_tokens"])
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if self.marks is None or not self.marks.search(text):
             return self._plain(text)
-        return b"".join(self.special.get(p) or self._plain(p) for p in self.marks.split(text) if p)
+        return b"".join([self.special.get(p) or self._plain(p)
+                         for p in self.marks.split(text) if p])
 
     def _plain(self, text: str) -> bytes:
         out, start = [], 0
@@ -197,46 +190,41 @@ class Encoder:
         return out[0] if len(out) == 1 else b"".join(out)
 
     def _part(self, text: str) -> bytes:
-        if _RUN.search(text):
-            units = _CUT.split(text)
-            return b"".join([self._unit(u[1:], True) if u[:1] == " " else self._unit(u, False)
-                             for u in units])
-        head, *rest = text.split(" ")
-        known = self.spaced
-        try:
-            return self._unit(head, False) + b"".join([known[u] for u in rest])
-        except KeyError:
-            return self._unit(head, False) + b"".join([self._unit(u, True) for u in rest])
-
-    def _unit(self, unit: str, spaced: bool) -> bytes:
-        known = self.spaced if spaced else self.first
-        ids = known.get(unit)
-        if ids is None:
-            whole = " " + unit if spaced else unit
-            # Up to here all versions of Unicode agree on letters, numbers and spaces.
-            pieces = (_PIECES.findall(whole) if max(whole, default="") < "\u0530"
-                      else [whole[a:b] for _, (a, b) in self.split(whole)])
-            ids = b"".join([self.pieces.get(p) or self._piece(p) for p in pieces])
-            if len(unit) <= LONG_UNIT:
-                self._remember(known, unit, ids)
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(_LETTERS)
-        ids_of = self.merges.ids
-        ids = _bytes([ids_of[t] for t in self.merges.encode(letters)])
-        if len(piece) <= LONG_UNIT:
-            self._remember(self.pieces, piece, ids)
-        return ids
-
-    def _remember(self, known: dict[str, bytes], text: str, ids: bytes) -> None:
-        known[text] = ids
-        self.held += len(text) + len(ids) + ENTRY_BYTES
+        # Up to here all versions of Unicode agree on letters, numbers and spaces.
+        if text.isascii() or max(text) < "\u0530":
+            pieces = _PIECES.findall(text)
+        else:
+            pieces = [text[a:b] for _, (a, b) in self.split(text)]
+        new = set(pieces).difference(self.known)
+        if new:
+            self._learn(new)
+        made = b"".join(map(self.known.__getitem__, pieces))
         if self.held > REMEMBERED_BYTES:
-            self.held //= 2
-            for some in (self.first, self.spaced, self.pieces):
-                for old in list(islice(some, len(some) // 2)):
-                    del some[old]
+            self._forget()
+        return made
+
+    def _learn(self, pieces: set[str]) -> None:
+        known, number, ids_of = self.known, self.merges.encode, self.merges.ids
+        for piece in pieces:
+            letters = piece.encode().decode("latin-1").translate(_LETTERS)
+            known[piece] = ids = _bytes([ids_of[t] for t in number(letters)])
+            self.held += len(piece) + len(ids) + ENTRY_BYTES
+
+    def _forget(self) -> None:
+        """Drop the oldest entries until half of the bytes are left."""
+        known = self.known
+        for piece in list(islice(known, len(known))):
+            if self.held <= REMEMBERED_BYTES // 2:
+                break
+            self.held -= len(piece) + len(known.pop(piece)) + ENTRY_BYTES
+
+
+class Decoder:
+    """The bytes of all ids in one array, and where those of each id begin."""
+
+    def __init__(self, path: str) -> None:
+        told = _plain_file(path)
+        self.offsets, self.blob = _offset_table(told["model"]["vocab"], told["added_tokens"])
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids, gathered by the offset table."""
@@ -251,8 +239,10 @@ def _bytes(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
-def _check(told: dict) -> None:
-    """Stop on files that ask for more than merges over bytes."""
+def _plain_file(path: str) -> dict:
+    """What the file says; stops on one that asks for more than merges over bytes."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
     model, cut = told["model"], told["pre_tokenizer"] or {}
     plain = (model["type"] == "BPE" and not told["normalizer"]
              and not any(model.get(k) for k in (
@@ -264,6 +254,7 @@ def _check(told: dict) -> None:
                          for t in told["added_tokens"]))
     if not plain:
         raise ValueError("not a plain byte-level BPE file")
+    return told
 
 
 def _offset_table(vocabulary: dict[str, int], added: list[dict]) -> tuple[np.ndarray, np.ndarray]:
@@ -279,14 +270,14 @@ def _offset_table(vocabulary: dict[str, int], added: list[dict]) -> tuple[np.nda
     return offsets, np.frombuffer(b"".join(parts), np.uint8)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_KNOWN: dict[tuple[type, str], Encoder | Decoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder, which later tasks of the same worker use again."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def of_worker(kind: type, path: str) -> Encoder | Decoder:
+    """The worker's encoder or decoder, which later tasks of the same worker use again."""
+    if (kind, path) not in _KNOWN:
+        _KNOWN[kind, path] = kind(path)
+    return _KNOWN[kind, path]
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -296,10 +287,10 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     added; special tokens written in a text are single ids. Null and empty texts have no ids
     (an empty value). Each row stands for itself, so repeated rows, ties and nulls in other
     columns change nothing; a column named as `ids` is replaced; an empty table gives no rows.
-    A long text is cut into units a part at a time.
+    A long text is cut into pieces a part at a time.
     """
     def make() -> Callable[[list], list]:
-        one = encoder(path).encode
+        one = of_worker(Encoder, path).encode
         return lambda texts: [[one(t) if t else b"" for t in texts]]
 
     return append_columns(df.drop(ids), text, make, [T.StructField(ids, T.BinaryType())])
@@ -313,7 +304,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     column named as `text` is replaced; an empty table gives no rows.
     """
     def make() -> Callable[[list], list]:
-        one = encoder(path).decode
+        one = of_worker(Decoder, path).decode
 
         def decoded(values: list) -> list:
             sizes = [len(v) if v else 0 for v in values]
