@@ -15,9 +15,16 @@ from xxhash import xxh64_intdigest
 from wicketflow.llm.common import slices
 
 MARK = "▁"
-#: Chunks of text whose lattices a worker remembers; all go when it is full.
-REMEMBERED = 400_000
-SLICE = 4 << 20
+#: Edges and states of the lattices that a worker remembers (12 and 4 bytes); all go when full.
+EDGES = 4 << 20
+STATES = 2 << 20
+#: Chunks that a worker remembers.
+CHUNKS = 200_000
+#: Characters whose lattices are made at once.
+GROUP = 1 << 16
+#: Text bytes that are sampled at once, and ids that are decoded at once.
+SLICE = 1 << 20
+DECODED = 1 << 18
 
 
 class Pieces:
@@ -87,10 +94,11 @@ class Lattices:
 
     def clear(self) -> None:
         self.last: dict[str, int] = {}
-        self.first = np.zeros(1, np.int64)
-        self.cumulative = np.empty(0, np.float32)
-        self.before = np.empty(0, np.int32)
-        self.piece = np.empty(0, np.int32)
+        self.states = self.edges = 0
+        self.first = np.zeros(STATES + 1, np.int32)
+        self.cumulative = np.empty(EDGES, np.float32)
+        self.before = np.empty(EDGES, np.int32)
+        self.piece = np.empty(EDGES, np.int32)
         self.fallback: list[list[int]] = []
         self.fallback_of: dict[int, int] = {}
 
@@ -106,7 +114,7 @@ class Lattices:
     def _edges(self, chars: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """start, end (its last position), code and weight of all edges in the chunks."""
         found, known = [], np.zeros(len(chars), bool)
-        start, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+        start, node = np.arange(len(chars), dtype=np.int32), np.zeros(len(chars), np.int64)
         for size in range(self.pieces.longest):
             inside = start + size < ends[start]
             start, node = start[inside], node[inside]
@@ -120,14 +128,24 @@ class Lattices:
                 known[start[full]] = True
             found.append((start[full], start[full] + size, code[full],
                           self.node_weight[node[full]]))
-        rare = np.flatnonzero(~known)
+        rare = np.flatnonzero(~known).astype(np.int32)
         found.append((rare, rare, self._spelled(chars[rare]),
                       np.full(len(rare), self.pieces.rare)))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
     def learn(self, chunks: list[str]) -> None:
-        if not chunks:
-            return
+        """Lattices of new chunks, made a group of them at a time."""
+        group, held = [], 0
+        for chunk in chunks:
+            if held and held + len(chunk) > GROUP:
+                self._learn(group)
+                group, held = [], 0
+            group.append(chunk)
+            held += len(chunk)
+        if group:
+            self._learn(group)
+
+    def _learn(self, chunks: list[str]) -> None:
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         close = np.cumsum(sizes)
         chars = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4").astype(np.int64)
@@ -156,20 +174,38 @@ class Lattices:
                 window = states[:, None] - np.arange(min(self.pieces.longest, depth + 1))
                 forward[window] /= total[:, None]
         by = np.argsort(end, kind="stable")
-        old, edges = len(self.first) - 1, len(self.piece)
         into = np.bincount(end, minlength=len(chars))
-        self.first = np.concatenate((self.first, edges + np.cumsum(into)))
         start, end = start[by], end[by]
-        self.cumulative = np.concatenate((self.cumulative, share[by].astype(np.float32)))
-        came = np.where(start > begin[end], old + start - 1, -1)
-        self.before = np.concatenate((self.before, came.astype(np.int32)))
-        self.piece = np.concatenate((self.piece, code[by]))
-        self.last.update(zip(chunks, (old + close - 1).tolist(), strict=True))
+        came = np.where(start > begin[end], self.states + start - 1, -1)
+        states, edges = slice(self.states, self.states + len(chars)), slice(
+            self.edges, self.edges + len(by))
+        self._reserve(states.stop, edges.stop)
+        self.first[states.start + 1:states.stop + 1] = edges.start + np.cumsum(into)
+        self.cumulative[edges] = share[by]
+        self.before[edges] = came
+        self.piece[edges] = code[by]
+        self.last.update(zip(chunks, (states.start + close - 1).tolist(), strict=True))
+        self.states, self.edges = states.stop, edges.stop
+
+    def _reserve(self, states: int, edges: int) -> None:
+        """More room than usual, for a slice whose texts need it."""
+        if states >= len(self.first):
+            self.first = np.concatenate((self.first, np.zeros(states, np.int32)))
+        if edges > len(self.piece):
+            more = np.empty(edges, np.int32)
+            self.cumulative = np.concatenate((self.cumulative, more.astype(np.float32)))
+            self.before = np.concatenate((self.before, more))
+            self.piece = np.concatenate((self.piece, more))
+
+    def _full(self, chars: int, chunks: int) -> bool:
+        """Whether so many new ones may not fit; a character ends a few pieces."""
+        return (self.states + chars > STATES or self.edges + 4 * chars > EDGES
+                or len(self.last) + chunks > CHUNKS)
 
     def sample(self, chunks: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward-sampled edge codes of all chunks in a row, and their number per chunk."""
         new = set(chunks).difference(self.last)
-        if len(self.last) + len(new) > REMEMBERED:
+        if self._full(sum(map(len, new)), len(new)):
             self.clear()
             new = set(chunks)
         self.learn(sorted(new))
@@ -299,6 +335,7 @@ class Spelling:
 
 
 _KNOWN: dict[tuple[str, float], Lattices] = {}
+_SPELLINGS: dict[str, Spelling] = {}
 
 
 def lattices_of(model: str, alpha: float) -> Lattices:
@@ -337,16 +374,28 @@ def encode(df: DataFrame, model: str, key: str = "doc_id", text: str = "text", s
             .withColumnsRenamed({"key": key, "text": text} if key != text else {}))
 
 
+def _decodable(batch: pa.RecordBatch, ids: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about DECODED ids each, one row at least."""
+    ends = np.asarray(batch.column(ids).offsets, np.int64)
+    start = 0
+    while start < batch.num_rows:
+        stop = int(np.searchsorted(ends, ends[start] + DECODED, side="right")) - 1
+        stop = min(max(stop, start + 1), batch.num_rows)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def decode(df: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """`df` with the text of its ids; null where ids are null, unknown or no UTF-8."""
     if out in df.columns:
         raise ValueError(f"there is a column called {out}")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling = Spelling(lattices_of(model, 1.0).pieces)
+        if model not in _SPELLINGS:
+            _SPELLINGS[model] = Spelling(Pieces(model, 1.0))
+        spelling = _SPELLINGS[model]
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in _decodable(batch, ids):
                 texts = spelling.decode(part.column(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns, texts],
                                                  names=[*part.schema.names, out])
