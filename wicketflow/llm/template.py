@@ -6,7 +6,6 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
-from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,10 +14,11 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from wicketflow.llm.common import slices
+from wicketflow.session import stage
 
-#: A class of tokens is part of the template if it is on this share of a host's pages ...
+#: A class of tokens is part of the template if it is on more than this share of a host's pages ...
 SUPPORT = 0.5
-#: ... and if the host has so many different pages; with fewer, chance would be a template.
+#: ... and on so many different ones; with fewer, chance (or a near copy) would be a template.
 MIN_PAGES = 4
 #: The main element goes down to a child that holds this share of the slot text.
 DOMINANT = 0.6
@@ -128,7 +128,7 @@ def parse(html: str | None) -> Page:
             value = "".join(values).lower()
             words.update(re.split(r"[^a-z0-9]+", value))
             if name.lower() == "class":
-                label += "." + ".".join(sorted(value.split()))
+                label += "." + ".".join(sorted(value.replace("/", "|").split()))
         article = top.article or tag in ("article", "main") or "article" in words and tag == "div"
         chrome = (top.chrome or tag in CHROME or bool(words & CHROME_WORDS)
                   or not article and (tag == "header" or bool(words & HEADER_WORDS)))
@@ -158,7 +158,8 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(found, r"^.*@|:\d*$", ""))
 
 
-TOKENS = "host string, token long, page long, n long, kind string, path string, parent string"
+TOKENS = ("host string, token long, page long, n long, kind string, path string, parent string,"
+          " chars long")
 
 
 def tokens(pages: DataFrame) -> DataFrame:
@@ -173,15 +174,15 @@ def tokens(pages: DataFrame) -> DataFrame:
                     page, seen = parse(html), {}
                     own = token(html or "")
                     for path, parent in page.tags:
-                        key = (token("tag", path), "tag", path, parent)
+                        key = (token("tag", path), "tag", path, parent, 0)
                         seen[key] = seen.get(key, 0) + 1
                     for text, path, chrome, _ in page.blocks:
                         if not chrome:
-                            key = (token("text", path, text), "text", path, path)
+                            key = (token("text", path, text), "text", path, path, len(text))
                             seen[key] = seen.get(key, 0) + 1
                     rows += [(host, k[0], own, n, *k[1:]) for k, n in seen.items()]
-                columns = list(zip(*rows, strict=True)) or [()] * 7
-                kinds = [pa.string()] + [pa.int64()] * 3 + [pa.string()] * 3
+                columns = list(zip(*rows, strict=True)) or [()] * 8
+                kinds = [pa.string()] + [pa.int64()] * 3 + [pa.string()] * 3 + [pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                     names=[x.split()[0] for x in TOKENS.split(", ")])
@@ -189,89 +190,104 @@ def tokens(pages: DataFrame) -> DataFrame:
     return pages.select("host", "html").mapInArrow(run, TOKENS)
 
 
-def classes(pages: DataFrame, support: float = SUPPORT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, token, kind, path, class_id, parent_class): the template of each host.
+def vectors(pages: DataFrame) -> DataFrame:
+    """(host, token, kind, path, parent, chars, pages, total, class_id) of all tokens.
 
-    Tokens with equal occurrence vectors over the host's different pages are one class. A
+    Tokens with equal occurrence vectors over the host's different pages are of one class. A
     vector is stood for by two sums of hashes of (page, count), which combine before the
-    shuffle, so a host's size does not matter. A class is valid if it is on at least
-    `support` of the host's pages. It nests in the class of the element that its first
-    token's element stands in. A host has a bounded number of such tokens: the mean number
-    in a page, divided by `support`.
+    shuffle, so a host's size does not matter. `chars` is summed over the pages, `total` is
+    the host's number of different pages.
     """
-    marks = tokens(pages)
-    once = marks.groupBy("host", "token", "page").agg(
-        F.max("n").alias("n"), *[F.min(c).alias(c) for c in ("kind", "path", "parent")])
+    once = tokens(pages).groupBy("host", "token", "page").agg(
+        F.max("n").alias("n"), F.max("chars").alias("chars"),
+        *[F.first(c).alias(c) for c in ("kind", "path", "parent")])
     sums = [F.sum(F.xxhash64("page", "n", F.lit(i)).bitwiseAND(F.lit((1 << 40) - 1)))
             .alias(f"v{i}") for i in (1, 2)]
-    vectors = once.groupBy("host", "token").agg(
-        F.count("*").alias("pages"), *sums,
-        *[F.min(c).alias(c) for c in ("kind", "path", "parent")])
-    total = (pages.select("host", F.xxhash64("html").alias("h")).distinct()
-             .groupBy("host").agg(F.count("*").alias("total")))
-    valid = (vectors.join(total, "host")
-             .where((F.col("total") >= min_pages) & (F.col("pages") >= support * F.col("total")))
-             .withColumn("class_id", F.xxhash64("pages", "v1", "v2")))
-    tags = valid.where("kind = 'tag'").select("host", F.col("path").alias("parent"),
-                                              F.col("class_id").alias("parent_class"))
-    return valid.join(tags, ["host", "parent"], "left").select(
-        "host", "token", "kind", "path", "class_id", "parent_class")
-
-
-def main_paths(pages: DataFrame, template: DataFrame, dominant: float = DOMINANT) -> DataFrame:
-    """(host, main, fixed): the template element that holds the main slot, and the tokens of
-    the host's constant texts.
+    held = stage(once.groupBy("host", "token").agg(
+        F.count("*").alias("pages"), *sums, F.sum(F.col("n") * F.col("chars")).alias("chars"),
+        *[F.first(c).alias(c) for c in ("kind", "path", "parent")]), "tokens")
+    total = stage(pages.select("host", F.xxhash64("html").alias("h")).distinct()
+                  .groupBy("host").agg(F.count("*").alias("total")), "hosts")
+    return held.join(total, "host").withColumn("class_id", F.xxhash64("pages", "v1", "v2"))
+
+
+def classes(told: DataFrame, support: float = SUPPORT, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, token, kind, path, class_id, parent_class): the template of each host.
+
+    A class is valid if it is on `min_pages` different pages of the host at least and on more
+    than `support` of them, and if it nests: a text belongs to the template if the element it
+    stands in, or one around that, is of its own class, so that text and element come and go
+    together; a tag nests in the class of the element around it. A host has a bounded number
+    of such tokens: the mean number in a page, divided by `support`.
+    """
+    valid = told.where((F.col("pages") >= min_pages) & (F.col("pages") > support * F.col("total")))
+    tags = valid.where("kind = 'tag'").select(
+        "host", F.col("path").alias("around"), F.col("class_id").alias("parent_class"))
+    above = F.explode(F.transform(
+        F.sequence(F.lit(1), F.size(F.split("parent", "/"))),
+        lambda i: F.array_join(F.slice(F.split("parent", "/"), 1, i), "/"))).alias("around")
+    texts = (valid.where("kind = 'text'").select("host", "token", "kind", "path", "class_id", above)
+             .join(tags, ["host", "around"]).where("class_id = parent_class")
+             .groupBy("host", "token").agg(*[F.first(c).alias(c) for c in (
+                 "kind", "path", "class_id", "parent_class")]))
+    nested = (valid.where("kind = 'tag'").withColumnRenamed("parent", "around")
+              .join(tags, ["host", "around"], "left")
+              .select("host", "token", "kind", "path", "class_id", "parent_class"))
+    return nested.union(texts)
+
+
+def templates(pages: DataFrame, dominant: float = DOMINANT) -> DataFrame:
+    """(host, main, fixed): where a host's main slots are, and the texts its template fixes.
 
     The characters of slots (text outside the template and outside chrome) are summed for
-    each element path of a host. From the root, the main element is the deepest that still
-    holds `dominant` of them. It is an element that holds blocks, never one of the blocks:
-    paragraphs of equal path would leave out the headings and lists beside them.
+    each template element of a host. From the root, the main element is the deepest that still
+    holds `dominant` of them, or the article around it. It is an element that holds blocks,
+    never one of the blocks: paragraphs of equal path would leave out the headings and lists
+    beside them. Hosts without a valid class have no row. All of this is counted from the
+    tokens; pages are read once.
     """
+    told = vectors(pages)
+    template = stage(classes(told), "template")
     fixed = (template.where("kind = 'text'").groupBy("host")
              .agg(F.collect_set("token").alias("fixed")))
-    known = pages.select("host", "html").join(fixed, "host", "left")
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "html"):
-                sizes: dict[tuple[str, str], int] = {}
-                for row in part.to_pylist():
-                    constant = set(row["fixed"] or ())
-                    for text, path, chrome, _ in parse(row["html"]).blocks:
-                        if not chrome and token("text", path, text) not in constant:
-                            steps = path.split("/")
-                            holders = takewhile(lambda s: s.partition(".")[0] in HOLDERS, steps)
-                            for i in range(1, sum(1 for _ in holders) + 1):
-                                key = row["host"], "/".join(steps[:i])
-                                sizes[key] = sizes.get(key, 0) + len(text)
-                rows = [(*k, n) for k, n in sizes.items()]
-                columns = list(zip(*rows, strict=True)) or [()] * 3
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(
-                        columns, (pa.string(), pa.string(), pa.int64()), strict=True)],
-                    names=["host", "path", "chars"])
-
-    held = (known.mapInArrow(run, "host string, path string, chars long")
+    elements = template.where("kind = 'tag'").select("host", "path").union(
+        template.select("host", F.lit(""))).distinct()
+    slots = told.where("kind = 'text'").join(
+        template.where("kind = 'text'").select("host", "token"), ["host", "token"], "left_anti")
+    steps = F.split("path", "/")
+    holders = F.filter(
+        F.transform(F.sequence(F.lit(1), F.size(steps)),
+                    lambda i: F.slice(steps, 1, i)),
+        lambda p: F.forall(p, lambda x: F.substring_index(x, ".", 1).isin(*sorted(HOLDERS))))
+    sums = (slots.select("host", "chars", F.explode(holders).alias("p"))
+            .select("host", "chars", F.array_join("p", "/").alias("path"))
             .groupBy("host", "path").agg(F.sum("chars").alias("chars")))
-    whole = held.where("path = ''").select("host", F.col("chars").alias("whole"))
-    main = (held.join(whole, "host").where(F.col("chars") >= dominant * F.col("whole"))
-            .groupBy("host").agg(F.max_by("path", F.length("path")).alias("main")))
-    return main.join(fixed, "host", "full_outer")
+    whole = sums.where("path = ''").select("host", F.col("chars").alias("whole"))
+    deepest = (sums.join(elements, ["host", "path"]).join(whole, "host")
+               .where(F.col("chars") >= dominant * F.col("whole"))
+               .groupBy("host").agg(F.max_by("path", F.length("path")).alias("main")))
+    article = F.regexp_extract("main", r"^(?:.*?/)?(?:article|main)(?:\.[^/]*)?(?=/|$)", 0)
+    main = deepest.withColumn("main", F.when(article != "", article).otherwise(F.col("main")))
+    return main.join(fixed, "host", "left")
 
 
 def page_text(html: str | None, main: str | None, fixed: set[int]) -> str:
     """The slots of the main text, one block a line.
 
-    Text in an article is main text unless it is marked as something else. Without an
-    article the slots below the host's main element are taken, without its constant texts.
+    `main` is the element that holds the host's main slots, None without a template. Texts
+    that the template fixes are left out wherever they stand. What varies from page to page and
+    is no main text (reader comments, forms) is known by its marks alone. A page without
+    a template, or with no slot in the main element, is read by its structure: its article if
+    it has one.
     """
-    blocks = [b for b in parse(html).blocks if not b[2]]
-    inside = [b for b in blocks if b[3]]
-    if inside:
-        return "\n".join(b[0] for b in inside)
-    return "\n".join(text for text, path, _, _ in blocks
-                     if (main is None or path == main or path.startswith(main + "/"))
-                     and token("text", path, text) not in fixed)
+    blocks = [b for b in parse(html).blocks
+              if not b[2] and (not fixed or token("text", b[1], b[0]) not in fixed)]
+    if main is not None:
+        inside = [b for b in blocks if b[1] == main or b[1].startswith(main + "/")]
+        if inside:
+            return "\n".join(b[0] for b in inside)
+    article = [b for b in blocks if b[3]]
+    return "\n".join(b[0] for b in article or blocks)
 
 
 def extract(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -282,13 +298,16 @@ def extract(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     those of the main element are kept. Pages without a host count as one host; a host with
     fewer than MIN_PAGES different pages has no template, and its structure alone decides.
     Copies of a page count once in the template and each get their text. Other columns pass
-    through; none may be called `text`. Pages do not move: the template of a host is joined
-    to them, and a hot host's rows are split by adaptive execution.
+    through; a column called `text` is replaced. Pages do not move while the templates, which
+    are written first, are small enough to be broadcast by Spark's own limit; beyond that they
+    are shuffled by host, and a hot host's rows are split by adaptive execution.
     """
-    if "text" in df.columns or "__host" in df.columns:
-        raise ValueError("there is a column called text or __host")
+    df = df.drop("text")
+    taken = {"__host", "__main", "__fixed"} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns of these names cannot pass: {sorted(taken)}")
     pages = df.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    found = main_paths(pages, classes(pages)).select(
+    found = stage(templates(pages), "templates").select(
         F.col("host").alias("__host"), F.col("main").alias("__main"),
         F.col("fixed").alias("__fixed"))
     joined = df.join(found, host_of(df[url]) == F.col("__host"), "left").drop("__host")
