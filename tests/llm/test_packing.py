@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -49,3 +50,8 @@ def test_windows_are_full():
     left = [p for w in packer.windows for p in packing.powers_of_two(w)]
     assert all(w.filled & (w.filled - 1) == 0 for w in left)
     assert sum(w.filled for w in out + left) == sum(sizes)
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError, match="white space"):
+        packing.ChunkTokenizer(queries.tokenizer_file("byte_bpe_50k.json"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
@@ -22,6 +23,8 @@ EOS = 2
 OPEN = 16
 #: Partitions of which one task merges the leftovers, so at most so many times OPEN windows.
 MERGED = 64
+#: Words that go through the tokenizer in one call.
+TOGETHER = 2000
 #: Chunks of text whose ids a Python worker remembers; the oldest half goes when it is full.
 REMEMBERED = 600_000
 PUNCTUATION = b".,;:!?"
@@ -34,22 +37,29 @@ PIECES = ("{key} {kind}, start long, length long, ids binary, doc_tokens long,"
 class ChunkTokenizer:
     """Ids of a text from the ids of its chunks between ASCII spaces.
 
-    For a tokenizer that drops white space, so that no id spans two chunks. A chunk of ASCII
-    letters and digits with sentence marks at its end is cut once more before the marks, and
-    its letter case does not matter if the tokenizer lower-cases. Each distinct chunk goes
+    For a tokenizer file that drops white space, keeps runs of letters apart from all else and
+    marks the end of each word, so that no id spans two chunks; other files are refused. A chunk
+    of Latin letters with sentence marks at its end is cut once more before the marks, and its
+    letters are looked up in lower case, as the tokenizer lower-cases. Each distinct stem goes
     through the tokenizer once for each worker.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        _check(told)
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary, end = told["model"]["vocab"], told["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(end)]] = True
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         chunks = [t.encode().split() for t in texts]
-        new = list(set().union(*chunks).difference(self.known))
+        new = set().union(*chunks).difference(self.known)
         if new:
             self._learn(new)
         get = self.known.__getitem__
@@ -59,24 +69,55 @@ class ChunkTokenizer:
                 del self.known[old]
         return made
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        plain: dict[bytes, list[tuple[bytes, bytes]]] = {}
-        rest = []
+    def _learn(self, chunks: set[bytes]) -> None:
+        known, stems, rest = self.known, {}, []
         for c in chunks:
-            stem = c.rstrip(PUNCTUATION)
-            if len(stem) < len(c) and stem.isalnum() and stem.isascii():
-                plain.setdefault(stem, []).append((c, c[len(stem):]))
+            word = c.rstrip(PUNCTUATION).lower()
+            if word.isalpha():
+                stems[c] = word
+            elif not word.isascii() and _latin(text := word.decode()):
+                stems[c] = text.lower().encode()
             else:
                 rest.append(c)
-        marks = {m for pairs in plain.values() for _, m in pairs}
-        wanted = rest + [s for s in {*plain, *marks}.difference(rest) if s not in self.known]
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in wanted],
+        known.update(self._words(list(set(stems.values()).difference(known))))
+        rest += {c[len(word):] for c, word in stems.items()}.difference(known, rest)
+        encoded = self.tokenizer.encode_batch_fast([c.decode() for c in rest],
                                                    add_special_tokens=False)
-        for w, e in zip(wanted, encoded, strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-        for stem, pairs in plain.items():
-            for chunk, mark in pairs:
-                self.known[chunk] = self.known[stem] + self.known[mark]
+        for c, e in zip(rest, encoded, strict=True):
+            known[c] = np.array(e.ids, "<u4").tobytes()
+        for c, word in stems.items():
+            known[c] = known[word] + known[c[len(word):]]
+
+    def _words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Single words, many in one call: their ids end where a token ends a word."""
+        for i in range(0, len(words), TOGETHER):
+            some = words[i:i + TOGETHER]
+            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(),
+                                                 add_special_tokens=False).ids, "<u4")
+            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            data, start = ids.tobytes(), 0
+            for word, stop in zip(some, stops, strict=True):
+                yield word, data[start:stop]
+                start = stop
+
+
+def _latin(text: str) -> bool:
+    """Letters alone, of those that lower-case and compose one by one."""
+    return text.isalpha() and max(text) < "\u0130"
+
+
+def _check(told: dict) -> None:
+    """Stop on a file whose ids could span white space or the border of letters and marks."""
+    cuts = (told["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    first = cuts[0]
+    letters = (first.get("pattern") or {}).get("Regex", "")
+    if not (first.get("type") == "Split" and first.get("invert")
+            and first.get("behavior") == "Removed" and "[\\p{L}]+" in letters
+            and "[^\\s\\p{L}\\p{N}]+" in letters
+            and told["model"].get("end_of_word_suffix")
+            and any(n["type"] == "Lowercase" for n in
+                    (told["normalizer"] or {}).get("normalizers", ()))):
+        raise ValueError("not a lower-casing word tokenizer that drops white space")
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
