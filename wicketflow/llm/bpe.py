@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from wicketflow.llm.common import append_columns
 
 #: Bytes of remembered pieces and their ids that a Python worker keeps; then the older ones go.
-REMEMBERED_BYTES = 96 << 20
+REMEMBERED_BYTES = 64 << 20
 #: What an entry of a dictionary holds beside its bytes, about.
 ENTRY_BYTES = 150
 #: Characters of a text that are cut into pieces at a time.

@@ -26,7 +26,7 @@ MERGED = 64
 #: Words that go through the tokenizer in one call.
 TOGETHER = 2000
 #: Chunks of text whose ids a Python worker remembers; the oldest half goes when it is full.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 PUNCTUATION = b".,;:!?"
 SEQUENCES_PER_PARTITION = 1 << 28
 
