@@ -1,0 +1,150 @@
+"""Matches that land in pieces: held in state, let go whole, appended all or nothing."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.conftest import rows
+from wicketflow.plans import update
+from wicketflow.plans.train import Tables, score_deliveries
+from wicketflow.queries import views
+from wicketflow.streaming.feed import stream_updates
+from wicketflow.streaming.release import Hold, is_whole, release
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "eventid long, innings string, sequence long, over double, runs int, landed timestamp"
+
+
+def day(n):
+    return dt.datetime(2021, 1, 1) + dt.timedelta(days=n)
+
+
+def match(event, last=19.6):
+    return [(event, side, 100 * i + ball, over, ball) for i, side in enumerate(("1st", "2nd"))
+            for ball, over in enumerate((0.1, 7.3, 12.5, last))]
+
+
+def run(spark, tmp_path, landings, hold=Hold()):
+    """Land each list of (row, day) and read the stream; rows of each run, and the last progress."""
+    out, seen, progress = [], 0, None
+    for number, landed in enumerate(landings):
+        data = [(*r, day(n)) for r, n in landed]
+        spark.createDataFrame(data, SCHEMA).repartition(3).write.mode("append").parquet(
+            str(tmp_path / "landing"))
+        query = (release(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "landing")), hold)
+                 .writeStream.format("parquet").option("path", str(tmp_path / "out"))
+                 .option("checkpointLocation", str(tmp_path / "progress"))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination(120)
+        assert query.exception() is None
+        whole = spark.read.schema(SCHEMA + ", complete boolean").parquet(str(tmp_path / "out"))
+        out.append(rows(whole.drop("landed")))
+        progress = query.lastProgress
+    return out, progress
+
+
+NOBODY = (None, None, None, None, None)
+
+
+def test_a_match_over_three_landings(spark, tmp_path):
+    one, two = match(1), match(2)
+    landings = [
+        [(r, 0) for r in one[5:]],                                # the last ball comes first
+        [(r, 1) for r in one[:3] + one[5:6] + two[:4]],           # a repeated delivery
+        [(r, 2) for r in one[2:5]] + [(r, 2) for r in two[4:]],   # late ones, some repeated
+        [(NOBODY, 30)]]
+    got, progress = run(spark, tmp_path, landings)
+    assert got[:3] == [[], [], []]
+    assert got[3] == sorted((*r, True) for r in one + two)
+    assert progress["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_incomplete_matches_are_given_up_and_too_late_rows_are_not_read(spark, tmp_path):
+    landings = [[(r, 0) for r in match(3, last=18.2)] + [(r, 0) for r in match(4)],
+                [(NOBODY, 5)],        # match 4 has settled, match 3 is waited for
+                [(NOBODY, 40)],       # match 3 is given up
+                [(r, 3) for r in match(3)] + [(NOBODY, 60)]]  # behind the clock
+    got, progress = run(spark, tmp_path, landings)
+    four = sorted((*r, True) for r in match(4))
+    assert got[1] == four
+    assert got[2] == got[3] == sorted(four + [(*r, False) for r in match(3, last=18.2)])
+    assert progress["stateOperators"][0]["numRowsTotal"] == 0
+
+
+def test_whole_innings():
+    assert is_whole([("a", 19.6), ("b", 3.1), ("b", 20.1)], 2)
+    assert not is_whole([("a", 19.6), ("a", 19.6), (None, 19.6), ("b", None)], 2)
+    assert not is_whole([], 1)
+
+
+def masters(spark, folder):
+    balls, matches = views.deliveries(spark, SF), views.matches(spark, SF)
+    tables = Tables(str(folder))
+    old = balls.where("matchid < 20")
+    update.create_tables(tables, old, score_deliveries(old), matches.where("matchid < 20"))
+    return tables, balls, matches
+
+
+def counts(spark, tables):
+    return {n: tables.read(spark, n).count() for n in ("deliveries", "points", "matches")}
+
+
+@pytest.mark.parametrize("table", ["points", "deliveries", "matches", "log"])
+def test_a_failed_update_shows_nothing(spark, tmp_path, monkeypatch, table):
+    tables, balls, matches = masters(spark, tmp_path / "tables")
+    before, append, commit = counts(spark, tables), update._append, Tables.commit
+
+    def fails(df, where, name, run):
+        append(df, where, name, run)
+        if name == table:
+            raise OSError("lost")
+
+    def no_commit(*args):
+        raise OSError("lost")
+
+    if table == "log":
+        monkeypatch.setattr(Tables, "commit", no_commit)
+    else:
+        monkeypatch.setattr(update, "_append", fails)
+    with pytest.raises(OSError, match="lost"):
+        update.append_to_tables(tables, balls, matches, batch="b")
+    assert counts(spark, tables) == before
+    monkeypatch.setattr(update, "_append", append)
+    monkeypatch.setattr(Tables, "commit", commit)
+    for _ in range(2):
+        update.append_to_tables(tables, balls, matches, batch="b")
+    after = counts(spark, tables)
+    assert after["deliveries"] == balls.count()
+    assert after["points"] == views.squads(spark, SF).count()
+
+
+def test_a_held_stream_equals_one_batch(spark, tmp_path):
+    """Matches over two landings; whole ones go to the masters, the others to `incomplete`."""
+    tables, balls, matches = masters(spark, tmp_path / "tables")
+    # The same balls with a last over in each innings of every match but those divisible by 7.
+    fresh = balls.where("matchid >= 18").dropDuplicates().withColumn(
+        "over", F.when((F.col("matchid") % 7 != 0) & (F.col("over") > 15), F.lit(19.6))
+        .otherwise(F.least("over", F.lit(18.0))))
+    fresh = fresh.dropDuplicates().withColumn("landed", F.lit(day(1)).cast("timestamp")).persist()
+    landing, hold = str(tmp_path / "landing"), Hold(match="matchid", unique=tuple(balls.columns))
+    for part in (F.col("scorevalue") == 0, F.col("scorevalue") != 0, None):
+        rows_ = fresh.where(part) if part is not None else spark.createDataFrame(
+            [(None,) * len(balls.columns) + (day(90),)],
+            T.StructType([T.StructField(f.name, f.dataType) for f in fresh.schema]))
+        rows_.write.mode("append").parquet(landing)
+        query = stream_updates(spark, landing, matches, tables, str(tmp_path / "progress"),
+                               fresh.schema, hold=hold)
+        query.awaitTermination(180)
+        assert query.exception() is None
+    last = fresh.where("over >= 19.6").groupBy("matchid").agg(
+        F.count_distinct("innings").alias("sides")).where("sides = 2").select("matchid")
+    whole = fresh.where("matchid >= 20").join(last, "matchid", "left_semi")
+    stored = tables.read(spark, "deliveries").where("matchid >= 20")
+    assert rows(stored, *balls.columns) == rows(whole, *balls.columns)
+    given_up = tables.read(spark, "incomplete")
+    assert given_up.count() == fresh.join(last, "matchid", "left_anti").count() > 0
+    assert rows(tables.read(spark, "points").where("matchid >= 20").select("matchid").distinct()) \
+        == rows(whole.select("matchid").distinct())
+    fresh.unpersist()

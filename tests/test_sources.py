@@ -155,3 +155,43 @@ def test_squad_names_drop_unmapped_and_repeat_mapped(spark):
                                   "playername string, teamname string")
     names = spark.createDataFrame([(1, "A", "A1"), (2, "A", "A2")], schemas.NAME_MAP)
     assert rows(feed.squad_names(squad, names), "playername") == [("A1",), ("A2",)]
+
+
+def test_headers_are_read_in_one_pass(spark, tmp_path):
+    for i in range(40):
+        folder = tmp_path / f"a b%20{i % 3}"
+        folder.mkdir(exist_ok=True)
+        columns = ["n", "team"] if i % 2 else ["team", "n"]
+        text = ",".join(columns) + "\n" + "".join(
+            ",".join({"n": str(100 * i + j), "team": '"x, y"'}[c] for c in columns) + "\n"
+            for j in range(3))
+        (folder / f"f {i}.csv").write_text("" if i == 39 else ("\ufeff" if i == 4 else "") + text)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "")
+    shapes = files.header_shapes(spark, [str(p) for p in sorted(tmp_path.iterdir())])
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("", "")
+    assert set(shapes) == {("n", "team"), ("team", "n")} and jobs <= 3
+    assert sum(map(len, shapes.values())) == 39
+    got = files.read_csv_any_header(spark, [str(p) for p in sorted(tmp_path.iterdir())],
+                                    "team string, n bigint, more int")
+    assert sorted(map(tuple, got.collect())) == [
+        ("x, y", 100 * i + j, None) for i in range(39) for j in range(3)]
+    assert files.read_csv_any_header(spark, [str(tmp_path / "a b%200" / "f 39.csv")],
+                                     "n bigint").count() == 0
+
+
+def test_broken_pages_are_set_aside(spark, tmp_path):
+    good = '{"content":{"squads":[]}}'
+    landed = [(1, good), (2, good[:-3]), (3, "[1"), (4, ""), (5, " "), (6, None), (7, "{}"),
+              (8, '{"content":{"squads":null}}'), (9, '{"content":{"squads":5}}'), (1, good),
+              (10, "null")]
+    df = spark.createDataFrame(landed, "id int, page string")
+    path = str(tmp_path / "broken")
+    sound = pages.quarantine(df, pages.SQUADS, path)
+    broken = spark.read.parquet(path)
+    assert rows(sound, "id") == [(1,), (1,)]
+    assert sound.count() + broken.count() == len(landed)
+    faults = dict(rows(broken, "id", "fault"))
+    assert faults == {2: "broken", 3: "broken", 4: "no text", 5: "no text", 6: "no text",
+                      7: "no content", 8: "no content", 9: "broken", 10: faults[10]}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,9 @@ from wicketflow.plans.models import (MOVING_AVERAGE, ModelPlan, fit_model, save_
 from wicketflow.session import stage
 
 
+COMMITS = "run string, batch string"
+
+
 @dataclass(frozen=True)
 class Tables:
     """Where a job keeps its tables and models."""
@@ -29,7 +33,25 @@ class Tables:
         return f"{self.root.rstrip('/')}/{name}"
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.path(name))
+        """The table; of one that is written in runs, the rows of committed runs."""
+        df = spark.read.parquet(self.path(name))
+        if "run" not in df.columns:
+            return df
+        return df.join(self.commits(spark).select("run"), "run", "left_semi").drop("run")
+
+    def commits(self, spark: SparkSession) -> DataFrame:
+        """One row (run, batch) for each run whose tables are all written."""
+        try:
+            return spark.read.schema(COMMITS).json(self.path("commits"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], COMMITS)
+
+    def commit(self, spark: SparkSession, run: str, batch: str | None = None) -> None:
+        """Make a run's rows visible: one row in one file, which Spark writes all or not."""
+        row = spark.createDataFrame([(run, batch)], COMMITS)
+        row.coalesce(1).write.mode("append").json(self.path("commits"))
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -51,24 +52,39 @@ def _sliced(df: DataFrame, width: int) -> DataFrame:
     return df.withColumn("match_slice", F.floor(F.col("matchid") / width).cast("bigint"))
 
 
-def _append(df: DataFrame, tables: Tables, name: str) -> None:
-    """Append in folders of consecutive match ids.
+def _append(df: DataFrame, tables: Tables, name: str, run: str) -> None:
+    """Append a run's rows in folders of consecutive match ids.
 
     A later update joins on folder and match id, so it reads only the folders
     that its own match ids fall into.
     """
-    write_per_key(_sliced(df, tables.slice_width), tables.path(name), "match_slice", mode="append")
+    rows = _sliced(df, tables.slice_width).withColumn("run", F.lit(run))
+    write_per_key(rows, tables.path(name), ["match_slice", "run"], mode="append")
+
+
+def _write(fresh: dict[str, DataFrame], tables: Tables, batch: str | None) -> None:
+    """Write all tables of a run, then commit it. A run that dies leaves rows no one reads."""
+    run, spark = uuid.uuid4().hex, None
+    for name, df in fresh.items():
+        spark = df.sparkSession
+        _append(df, tables, name, run)
+    tables.commit(spark, run, batch)
 
 
 def append_to_tables(tables: Tables, deliveries: DataFrame, matches: DataFrame,
                      points_rules: PointsRules = PointsRules(),
-                     role_rules: RoleRules = RoleRules(), stage=None) -> None:
-    """Write only the new rows behind the stored masters.
-
-    Each table is compared with its own keys, so a job that dies between two
-    tables completes the missing ones when it is run again.
+                     role_rules: RoleRules = RoleRules(), stage=None,
+                     extra: dict[str, DataFrame] | None = None, batch: str | None = None) -> None:
+    """Write only the new rows behind the stored masters: all tables, or none.
+
+    Rows carry the id of their run, and readers see the runs of a commit log that is
+    written last. A job that dies before that has changed nothing that can be read, and
+    writes all of its rows when it is run again. A `batch` that is in the log is not run
+    again. `extra` tables (with a matchid) are part of the run. One job may write at a time.
     """
     spark = deliveries.sparkSession
+    if batch is not None and not tables.commits(spark).where(F.col("batch") == batch).isEmpty():
+        return
     key = ["match_slice", "matchid"]
     incoming = _sliced(deliveries, tables.slice_width)
     played = _sliced(finished(matches), tables.slice_width)
@@ -79,12 +95,12 @@ def append_to_tables(tables: Tables, deliveries: DataFrame, matches: DataFrame,
         "deliveries": keep_new(incoming, master["deliveries"], key),
         "matches": keep_new(played, master["matches"], key),
     }
-    for name, df in fresh.items():
-        columns = [c for c in master[name].columns if c in df.columns and c != "match_slice"]
-        _append(df.select(*columns), tables, name)
+    written = {name: df.select(*[c for c in master[name].columns
+                                 if c in df.columns and c != "match_slice"])
+               for name, df in fresh.items()}
+    _write({**written, **(extra or {})}, tables, batch)
 
 
 def create_tables(tables: Tables, deliveries: DataFrame, points: DataFrame,
                   matches: DataFrame) -> None:
-    for name, df in (("deliveries", deliveries), ("points", points), ("matches", matches)):
-        _append(df, tables, name)
+    _write({"deliveries": deliveries, "points": points, "matches": matches}, tables, None)

@@ -523,6 +523,31 @@ add("master_update", BASE + CUT
 select matchid, playername, playing_role, total_points from old_points
 union all select matchid, playername, playing_role, total_points from new_points""")
 
+add("stored_update", MATCH + CUT + [
+    ("low", "select cast(floor(max(matchid) * cast(0.7 as double)) as bigint) as lo from deliveries"),
+    ("squads", SQUADS)], """
+select 'deliveries' as name, matchid, count(*) as stored from deliveries group by matchid
+union all select 'points', matchid, count(*) from (
+  select distinct matchid, playername from squads) group by matchid
+union all select 'matches', matchid, count(*) from matches
+  where matchid <= (select hi from cut) or winner <> 'Match Tied/Cancelled/Not yet ended'
+  group by matchid""")
+add("released_matches", FEED, """
+select eventid, innings, sequence, "over", batsman, scorevalue, dismissal, runrate,
+  eventid in (select eventid from (select eventid, innings from feed where "over" >= 19.6
+                                   group by all) group by eventid having count(*) >= 2) as complete
+from (select distinct * from feed)""")
+add("broken_pages", FEED, """
+select eventid, sequence, case sequence % 23 when 3 then 'broken' when 17 then 'broken'
+  when 13 then 'no content' else 'no text' end as fault
+from feed where sequence % 23 in (3, 7, 11, 13, 17)""")
+add("sound_deliveries", FEED, """
+select eventid, innings, sequence, "over", scorevalue, batsman from feed
+where sequence % 23 not in (3, 7, 11, 13, 17)""")
+add("drifting_headers", SQUAD, """
+select matchid, playername, playing_team, case when matchid % 3 <> 2 then playercost end
+  as playercost from squads""")
+
 NEXT = SCORE + [
     ("matches0", MATCHES), ("squads", SQUADS), ("players", PLAYERS),
     ("next_id", "select max(matchid) + 1 as id from points"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,11 @@ from wicketflow.config import FeatureRules
 from wicketflow.functions import text
 from wicketflow.functions.times import year_text
 from wicketflow.plans import backtest as full, models, nextmatch, update
+from wicketflow.plans.train import Tables
 from wicketflow.queries import views as v
 from wicketflow.session import fresh_path, stage
 from wicketflow.sources import feed as fd, files, html, pages
+from wicketflow.streaming.release import Hold, release
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,7 +116,7 @@ def partitioned_sink(spark, d):
 
 @query
 def json_deliveries(spark, d):
-    return pages.feed_deliveries(v.play_pages(spark, d))
+    return pages.feed_deliveries(v.play_pages(spark, d).drop("sequence"))
 
 
 @query
@@ -127,6 +130,36 @@ def json_squads(spark, d):
     return pages.squad_players(v.squad_pages(spark, d))
 
 
+@query
+def broken_pages(spark, d):
+    landed = stage(v.damaged_pages(spark, d))
+    return pages.broken_pages(landed, pages.PLAYS).select("eventid", "sequence", "fault")
+
+
+@query
+def sound_deliveries(spark, d):
+    path = fresh_path(spark, "broken")
+    sound = pages.quarantine(stage(v.damaged_pages(spark, d)), pages.PLAYS, path)
+    return pages.feed_deliveries(sound.drop("sequence")).select(
+        "eventid", "innings", "sequence", "over", "scorevalue", "batsman")
+
+
+@query
+def drifting_headers(spark, d):
+    squad = v.squads(spark, d).select("matchid", "playername", "playing_team", "playercost")
+    shapes = [squad.where("matchid % 3 = 0"),
+              squad.where("matchid % 3 = 1").select(*reversed(squad.columns))
+              .withColumnRenamed("playername", "new_playername"),
+              squad.where("matchid % 3 = 2").drop("playercost").withColumn("note", F.lit("x, y"))]
+    paths = [fresh_path(spark, f"shape{i}") for i in range(len(shapes))]
+    for df, path in zip(shapes, paths):
+        files.write_per_key(df.withColumn("folder", F.col("playing_team")), path, "folder", "csv")
+    return files.read_csv_any_header(
+        spark, [f"{p}/*" for p in paths],
+        "matchid bigint, playername string, playing_team string, playercost double",
+        {"new_playername": "playername"})
+
+
 @query
 def html_links(spark, d):
     return html.page_links(v.table(spark, d, "pages")).select(
@@ -542,3 +575,45 @@ def master_update(spark, d):
     after = update.update_masters(masters, balls.filter(F.col("matchid") >= low),
                                   summary.filter(F.col("matchid") >= low), stage=stage)
     return after.points.select(*KEYS, "playing_role", "total_points")
+
+
+@query
+def stored_update(spark, d):
+    """Counts of the stored masters after an update that is run twice."""
+    low, high = _cut(spark, d)
+    balls, summary = stage(v.deliveries(spark, d)), stage(v.matches(spark, d))
+    tables = Tables(fresh_path(spark, "masters"))
+    old = balls.filter(F.col("matchid") <= high)
+    update.create_tables(tables, old, pt.player_points(sc.scorecard(old, stage=stage)),
+                         summary.filter(F.col("matchid") <= high))
+    for batch in ("first", None):
+        update.append_to_tables(tables, balls.filter(F.col("matchid") >= low),
+                                summary.filter(F.col("matchid") >= low), stage=stage, batch=batch)
+    return reduce(DataFrame.unionByName, [
+        tables.read(spark, name).groupBy("matchid").agg(F.count("*").alias("stored"))
+        .select(F.lit(name).alias("name"), "matchid", "stored")
+        for name in ("deliveries", "points", "matches")])
+
+
+@query
+def released_matches(spark, d):
+    """The feed landed in three parts, some of it twice, and read as a stream a part at a time."""
+    landing, out, progress = (fresh_path(spark, n) for n in ("landing", "released", "progress"))
+    feed = v.feed(spark, d)
+    part = F.pmod(F.xxhash64("sequence"), F.lit(3))
+    columns = feed.columns + ["landed"]
+    # Sequence numbers of the test feed come more than once; deliveries are told by all columns.
+    hold = Hold(unique=tuple(feed.columns))
+    for day in (1, 2, 3, 60):
+        stamp = F.date_add(F.to_date(F.lit("2021-01-01")), day).cast("timestamp")
+        now = feed.where((part == day - 1) | (part == 0) & (day == 3)) if day < 60 else \
+            spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                    for f in feed.schema])
+        now.withColumn("landed", stamp).select(*columns).write.mode("append").parquet(landing)
+        rows = release(spark.readStream.schema(spark.read.parquet(landing).schema)
+                       .parquet(landing), hold)
+        stream = (rows.writeStream.format("parquet").option("path", out)
+                  .option("checkpointLocation", progress).trigger(availableNow=True).start())
+        stream.awaitTermination()
+    return spark.read.parquet(out).select("eventid", "innings", "sequence", "over", "batsman",
+                                          "scorevalue", "dismissal", "runrate", "complete")

@@ -125,13 +125,21 @@ def play_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             array(named_struct('id', bowlerid, 'name', bowler)), array()),
         'homeScore', homescore, 'awayScore', awayscore)"""
     one = feed(spark, sf_dir).selectExpr(
-        "ipl_season", "eventid", f"to_json({item.format(0)}) as item",
+        "ipl_season", "eventid", "sequence", f"to_json({item.format(0)}) as item",
         f"to_json({item.format(1)}) as decoy")
-    return one.select("ipl_season", "eventid", F.concat(
+    return one.select("ipl_season", "eventid", "sequence", F.concat(
         F.lit('{"commentary":{"items":['), "item", F.lit(",{},"), "decoy", F.lit("]}}"))
         .alias("page"))
 
 
+def damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play pages of which some are cut off, empty, of another kind or with a wrong value."""
+    return play_pages(spark, sf_dir).withColumn("page", F.expr(
+        "case sequence % 23 when 3 then substr(page, 1, 60) when 7 then '  ' when 11 then null"
+        " when 13 then '{\"content\":{}}' when 17 then"
+        " replace(page, '\"scoreValue\":', '\"scoreValue\":\"x\",\"was\":') else page end"))
+
+
 def schedule_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each match as a JSON schedule page."""
     return matches(spark, sf_dir).selectExpr("year", """to_json(named_struct('content', named_struct(

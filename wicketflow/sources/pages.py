@@ -106,3 +106,47 @@ def squad_players(pages: DataFrame, page: str = "page", announced_only: bool = T
         *keep, F.col("p.name").alias("playername"), F.col("p.isCaptain").alias("iscaptain"),
         F.col("p.position").alias("position"), F.col("p.link.href").alias("profilelink"),
         "teamname")
+
+
+#: Kinds of pages: their schema, and what a page must have to be one.
+PLAYS = (schemas.PLAY_PAGE, "commentary.items")
+SCHEDULE = (schemas.SCHEDULE_PAGE, "content.matchEvents")
+SQUADS = (schemas.SQUADS_PAGE, "content.squads")
+
+
+def fault(page: str, kind: tuple[str, str]) -> Column:
+    """Why a page cannot be read as its kind; null for a sound one.
+
+    `no text`; `broken` when it is no JSON or a value does not fit its type; `no content` when
+    the list that such a page is made of is missing. An empty list is sound.
+    """
+    schema, needed = kind
+    text = F.col(page)
+
+    def judge(read: Column) -> Column:
+        content = reduce(lambda c, name: c[name], needed.split("."), read)
+        return (F.when(text.isNull() | (F.trim(text) == ""), "no text")
+                .when(read.isNull() | read["_broken"].isNotNull(), "broken")
+                .when(content.isNull(), "no content"))
+
+    parsed = F.from_json(text, f"{schema}, _broken string",
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    # Within a lambda the page is parsed once, however often the parts are looked at.
+    return F.element_at(F.transform(F.array(parsed), judge), 1)
+
+
+def sound_pages(pages: DataFrame, kind: tuple[str, str], page: str = "page") -> DataFrame:
+    """The pages that can be read as their kind."""
+    return pages.where(fault(page, kind).isNull())
+
+
+def broken_pages(pages: DataFrame, kind: tuple[str, str], page: str = "page") -> DataFrame:
+    """The other pages, with the column `fault`; with `sound_pages` they are all the input."""
+    return pages.withColumn("fault", fault(page, kind)).where("fault is not null")
+
+
+def quarantine(pages: DataFrame, kind: tuple[str, str], path: str,
+               page: str = "page") -> DataFrame:
+    """Append the broken pages to `path`, for repair, and return the sound ones."""
+    broken_pages(pages, kind, page).write.mode("append").parquet(path)
+    return sound_pages(pages, kind, page)

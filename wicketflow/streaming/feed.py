@@ -8,18 +8,37 @@ from pyspark.sql.streaming import StreamingQuery
 from wicketflow import schemas
 from wicketflow.plans.train import Tables
 from wicketflow.plans.update import append_to_tables
+from wicketflow.streaming.release import Hold, release
+
+INCOMPLETE = "incomplete"
 
 
 def stream_updates(spark: SparkSession, landing: str, matches: DataFrame, tables: Tables,
-                   checkpoint: str, schema=schemas.DELIVERIES, stage=None) -> StreamingQuery:
+                   checkpoint: str, schema=schemas.DELIVERIES, stage=None,
+                   hold: Hold | None = None) -> StreamingQuery:
     """Append the new matches of landed delivery files, then stop.
 
-    A file holds whole matches. A batch that is run again after a failure finds
-    its matches in the masters and appends nothing.
+    With `hold` a match may be spread over many files and runs: it is appended when it is
+    whole, and matches that were given up go to the table `incomplete`. Without it a file has
+    to hold whole matches. Each batch is one all-or-nothing update under its own name, so a
+    batch that is run again after a failure appends nothing twice.
     """
+    landed = spark.readStream.schema(schema).parquet(landing)
+    rows = landed if hold is None else release(landed, hold)
+
     def update(batch: DataFrame, batch_id: int) -> None:
-        append_to_tables(tables, batch, matches, stage=stage)
+        extra = {}
+        if hold is not None:
+            batch = batch.persist()
+            extra = {INCOMPLETE: batch.where("not complete").drop("complete")}
+            whole = batch.where("complete").drop("complete")
+        else:
+            whole = batch
+        try:
+            append_to_tables(tables, whole, matches, stage=stage, extra=extra,
+                             batch=f"{checkpoint}#{batch_id}")
+        finally:
+            batch.unpersist()
 
-    return (spark.readStream.schema(schema).parquet(landing)
-            .writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
+    return (rows.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
