@@ -29,14 +29,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the smallest doc_id stays, once.
+    """Of each group of near duplicates the smallest doc_id stays; of equal rows one.
 
-    A document without doc_id cannot be told from others and stays.
+    Different texts of one doc_id are different documents, so each of them stays with it. Of
+    rows with equal doc_id and text the one with the smallest other columns stays. A document
+    without doc_id cannot be told from others and stays.
     """
     docs = docs.select(*COLUMNS)
     kept = (simhash.near_duplicates(docs).where("doc_id = component_id")
             .select("doc_id").distinct())
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    named = (docs.join(kept, "doc_id", "left_semi").groupBy("doc_id", "text")
+             .agg(F.min(F.struct(*rest)).alias("row")).select("doc_id", "text", "row.*")
+             .select(*COLUMNS))
     return named.union(docs.where("doc_id is null")).select(*COLUMNS)
 
 
