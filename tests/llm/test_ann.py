@@ -97,3 +97,18 @@ def test_buckets_come_in_order_of_their_estimates():
     every = sorted((estimate((a, b, c)) for a in range(-3, 4) for b in range(-3, 4)
                     for c in range(-5, 3)), reverse=True)
     assert made == pytest.approx(every[:len(made)])
+
+
+@pytest.mark.parametrize("rows", [3, 12, 60])
+def test_few_candidates_are_all_found(spark, rows):
+    rng = np.random.default_rng(rows)
+    data = [(i, rng.normal(size=64).tolist()) for i in range(rows)] + [(rows, [1.0] * 64)] * 2
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, F.col("vec_id") % 20 == 0).collect()
+    vectors = dict(data)
+    for query in range(0, rows + 1, 20):
+        own = sorted((r for r in got if r.query_id == query), key=lambda r: r.rank)
+        assert len(own) == min(20, rows)
+        assert len({r.vec_id for r in own} - {query}) == len(own)
+        for r in own:
+            assert r.score == pytest.approx(np.dot(vectors[query], vectors[r.vec_id]))

@@ -45,9 +45,48 @@ def test_thresholds_are_ordered_and_the_fit_is_an_optimum():
         > np.mean(severity[grades == 0])
 
 
-def test_one_grade_is_refused():
-    with pytest.raises(ValueError):
-        toxicity.fit([np.array([1], np.int32)], np.array([0]))
+@pytest.mark.parametrize("labels", [[], [0, 0, 0], [1, 1, 1], [0, 3, 0, 2, 1, 3]])
+def test_few_and_other_labels(spark, odd, labels):
+    docs = odd.where("doc_id is not null").select("doc_id", "text")
+    marks = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    rows, toxic = toxicity.labelled_sample(docs, marks, "doc_id", "text", "toxic")
+    assert sorted(toxic) == sorted(v for i, v in enumerate(labels) if i != 5)
+    grades = toxicity.severity_grades(rows, toxic)
+    assert ((grades > 0) == (toxic > 0)).all()
+    got = toxicity.predict(docs, toxicity.fit(rows, grades)).collect()
+    assert len(got) == docs.count()
+    if not any(labels):
+        assert {(r.expected_severity, r.severity) for r in got} == {(0.0, 0)}
+
+
+def test_many_label_values_are_all_taken(spark):
+    docs = spark.createDataFrame([(i, f"word{i}") for i in range(40)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i) for i in range(40)], "doc_id long, toxic int")
+    assert len(toxicity.labelled_sample(docs, marks, "doc_id", "text", "toxic")[1]) == 40
+
+
+def test_the_fit_is_the_likeliest_by_a_plain_search():
+    """Two words, three grades: no point of a grid is better by the likelihood as written."""
+    rng = np.random.default_rng(8)
+    rows = [np.flatnonzero(rng.random(2) < 0.5).astype(np.int32) for _ in range(200)]
+    grades = np.array([min(2, int(0 in r) + int(1 in r and rng.random() < 0.7)) for r in rows])
+    model = toxicity.fit(rows, grades, buckets=2, penalty=0.05, rounds=4_000, rate=0.02)
+
+    def loss(a, b, first, second):
+        total, sizes = 0.0, np.bincount(grades)
+        for r, g in zip(rows, grades):
+            score = a * (0 in r) + b * (1 in r)
+            up_to = [1 / (1 + np.exp(score - t)) for t in (first, second)] + [1.0]
+            p = up_to[g] - (up_to[g - 1] if g else 0.0)
+            total -= np.log(p) / sizes[g] / 3
+        return total + 0.05 / 2 * (a * a + b * b)
+
+    found = loss(*map(float, model.weights), *map(float, model.thresholds))
+    for a in np.arange(-1, 4, 0.5):
+        for b in np.arange(-1, 4, 0.5):
+            for first in (-0.5, 0.5, 1.0):
+                for gap in (0.5, 1.5):
+                    assert found <= loss(a, b, first, first + gap) + 1e-6
 
 
 def test_sample_is_bounded_and_takes_the_larger_label(spark):

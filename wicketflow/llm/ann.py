@@ -171,6 +171,55 @@ def _rerank(k: int):
     return run
 
 
+def _scan(k: int):
+    """Exact inner products of some queries with all vectors of a block."""
+    def run(block: pa.Table, asked: pa.Table) -> pa.Table:
+        made: list[tuple[int, int, float]] = []
+        if block.num_rows and asked.num_rows:
+            node = block.column("node").to_numpy()
+            data = np.array(block.column("v").to_pylist(), np.float64)
+            for query, v in zip(*(asked.column(c).to_pylist() for c in ("query", "v")),
+                                strict=True):
+                score = data @ np.array(v, np.float64)
+                best = np.lexsort((node, -score))[:k + 1]
+                made += zip([query] * len(best), node[best].tolist(), score[best].tolist())
+        columns = list(zip(*made)) or [(), (), ()]
+        return pa.table([pa.array(c, f) for c, f in zip(
+            columns, (pa.int64(), pa.int64(), pa.float64()))], names=["query", "node", "score"])
+
+    return run
+
+
+def _completed(best: DataFrame, query_nodes: DataFrame, nodes: DataFrame, k: int, count: int,
+               hashing: Hashing) -> DataFrame:
+    """`best` with the queries that found fewer than k others searched in all vectors.
+
+    These few queries go to every block of vectors; blocks are of bounded size.
+    """
+    best = stage(best, "best")
+    found = (best.join(nodes.select("node", F.size("ids").alias("n")), "node")
+             .groupBy("query").agg(F.sum("n").alias("n")).where(F.col("n") > k))
+    short = stage(query_nodes.join(found, F.col("node") == F.col("query"), "left_anti")
+                  .select(F.col("node").alias("query"), "v"), "short")
+    if short.isEmpty():
+        return best
+    blocks = max(1, -(-count // hashing.shard_rows))
+    data = nodes.select(F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block"),
+                        "node", "v")
+    asked = short.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+                         "query", "v")
+    whole = (data.groupBy("block").cogroup(asked.groupBy("block"))
+             .applyInArrow(_scan(k), "query long, node long, score double"))
+    return best.join(short.select("query"), "query", "left_anti").unionByName(_ranked(whole, k))
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    """The k + 1 best of each query; of equal scores the smaller node."""
+    return (found.withColumn("r", F.expr("row_number() over (partition by query"
+                                         " order by score desc, node)"))
+            .where(F.col("r") <= k + 1).select("query", "node", "score"))
+
+
 def nearest(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding",
             k: int = 20, hashing: Hashing = HASHING) -> DataFrame:
     """(query_id, rank, key, score): the `k` largest inner products found for each query.
@@ -179,8 +228,9 @@ def nearest(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str =
     all other rows. Ties go to the smaller key. Rows without a key, and vectors that are
     null, zero, of another length than most, or hold null or non-finite components, take no
     part. Equal vectors are searched for once. Repeated rows are one candidate and one
-    query. With k candidates or fewer in the buckets, all of them are returned; an empty
-    table gives no rows. Other columns are not read.
+    query. A query whose buckets hold fewer than k candidates is searched in all vectors, so
+    that k are returned, or all candidates if there are fewer; an empty table gives no rows.
+    Other columns are not read.
 
     Every vector is in one bucket of each table. Buckets are dealt to shards by hash; one
     with over `shard_rows` vectors is split, and its queries go to each part.
@@ -228,9 +278,8 @@ def nearest(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str =
               .select("shard", F.col("node").alias("query"), "places", "v"))
     found = (data.groupBy("shard").cogroup(wanted.groupBy("shard"))
              .applyInArrow(_rerank(k), "query long, node long, score double"))
-    best = (found.groupBy("query", "node").agg(F.max("score").alias("score"))
-            .withColumn("r", F.expr("row_number() over (partition by query order by score desc,"
-                                    " node)")).where(F.col("r") <= k + 1))
+    best = _ranked(found.groupBy("query", "node").agg(F.max("score").alias("score")), k)
+    best = _completed(best, query_nodes, nodes, k, count, hashing)
     each = best.join(nodes.select("node", "ids"), "node").select(
         "query", "score", F.explode("ids").alias("id"))
     lists = each.groupBy("query").agg(F.slice(F.array_sort(F.collect_list(

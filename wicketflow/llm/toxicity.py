@@ -7,11 +7,12 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wicketflow.llm.common import append_columns
+from wicketflow.session import stage
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 18
@@ -48,12 +49,13 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, buckets: int = BUCKETS,
     """Maximum likelihood with a squared penalty, by full-batch Adam from zero.
 
     `grades` are 0, 1, ... without a gap. Thresholds are the first one and the logarithms of
-    the gaps, so they stay in order. Each grade weighs as much as any other in sum.
+    the gaps, so they stay in order. Each grade weighs as much as any other in sum. Without
+    rows, or with grade 0 alone, there is no threshold to cross: all texts have severity 0.
     """
     grades = np.asarray(grades, np.int64)
     levels = int(grades.max()) + 1 if len(grades) else 0
     if levels < 2:
-        raise ValueError("at least two grades are needed")
+        return OrdinalModel(np.zeros(buckets, np.float32), np.zeros(0))
     sizes = np.array([len(r) for r in rows])
     flat = np.concatenate(rows) if sizes.sum() else np.zeros(0, np.int64)
     used, columns = np.unique(flat, return_inverse=True)
@@ -97,21 +99,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
 
     The rows with the smallest hashed keys are taken, so the sample does not depend on how
     the tables are laid out. Labels that are null or name no document are left out; of a
-    document labelled twice the larger label counts.
+    document labelled twice the larger label counts. All label values are taken; they are
+    grades, of which there are few. No labels give no rows.
     """
     marks = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
              .groupBy(F.col(key).alias("key")).agg(F.max(label).alias("label")))
-    values = [r.label for r in marks.select("label").distinct().orderBy("label").limit(16)
-              .collect()]
-    order = F.xxhash64("key", F.lit(11))
-    chosen = [marks.where(F.col("label") == v).orderBy(order).limit(bound) for v in values]
-    if not chosen:
-        return [], np.zeros(0, np.int64)
-    picked = chosen[0]
-    for more in chosen[1:]:
-        picked = picked.union(more)
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        F.broadcast(picked), "key")  # 16 times `bound` rows at most
+    order = Window.partitionBy("label").orderBy(F.xxhash64("key", F.lit(11)), "key")
+    picked = stage(marks.withColumn("rank", F.row_number().over(order))
+                   .where(F.col("rank") <= bound).drop("rank"), "sample")
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(picked, "key")
     made = append_columns(texts.select("text", "label"), "text", lambda: lambda ts: [
         [features(t).tobytes() for t in ts]], [T.StructField("bag", T.BinaryType())])
     rows = made.select("label", "bag").collect()  # the bounded sample
@@ -122,12 +118,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
 
 def severity_grades(rows: list[np.ndarray], toxic: np.ndarray,
                     buckets: int = BUCKETS) -> np.ndarray:
-    """Grades for 0/1 labels: 0 is clean; 1 and 2 are the toxic rows with fewer and with more
-    marked words than the median toxic row.
+    """Grades for labels, of which all above 0 are toxic: 0 is clean; 1 and 2 are the toxic
+    rows with fewer and with more marked words than the median toxic row.
 
     A word is marked if it is far more frequent in toxic than in clean rows (a smoothed
     log-odds over 2). Without two different counts all toxic rows have grade 1.
     """
+    toxic = (np.asarray(toxic) > 0).astype(np.int64)
     counts = [np.bincount(np.concatenate([r for r, y in zip(rows, toxic) if y == v]
                                          or [np.zeros(0, np.int64)]), minlength=buckets)
               for v in (0, 1)]
