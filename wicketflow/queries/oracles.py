@@ -411,6 +411,13 @@ select matchid, playername,
   case when batsmen_innings = '2nd innings' then 1 else 0 end as batsmen_innings_2,
   case when batsmen_innings is null then 1 else 0 end as batsmen_innings_3
 from card""")
+add("ordered_means", BACK, """
+select matchid, playername, round((coalesce(sum(total_points) over before, 0) + mean)
+                                  / (count(total_points) over before + 1), 6) as before
+from (select matchid, playername, total_points, avg(total_points) over () as mean,
+        md5('|' || matchid || '|' || playername) as place from base)
+window before as (partition by playername order by place
+                  rows between unbounded preceding and 1 preceding)""")
 add("walk_forward", SCORE + [
     ("n", """select matchid, playername, total_points as y,
       row_number() over (partition by playername order by matchid) as seq,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wicketflow.operators import backtest as bt
 from wicketflow.operators import features as ft
 from wicketflow.operators import joins, points as pt, rolling, scaling, scorecard as sc
-from wicketflow.operators import selection as sel
+from wicketflow.operators import selection as sel, target_stats
 from wicketflow.operators.forecast import walk_forward as forecast
 from wicketflow.config import FeatureRules
 from wicketflow.functions import text
@@ -334,6 +334,13 @@ def one_hot(spark, d):
 
 # Models.
 
+@query
+def ordered_means(spark, d):
+    known = stage(_base(spark, d))
+    coded = target_stats.ordered_target_mean(known, "playername", "total_points", KEYS, "before")
+    return coded.select(*KEYS, F.round("before", 6).alias("before"))
+
+
 @query
 def train_test_split(spark, d):
     known = _known(spark, d, stage(sc.match_card(v.deliveries(spark, d)))).select(*KEYS, "year")

@@ -18,13 +18,22 @@ VOID = frozenset(
 MATCH_FIELDS = {"inningsinfo1": "innings-info-1", "inningsinfo2": "innings-info-2",
                 "date": "span.bold", "matchstatus": "match-status"}
 
+# A link's tag up to the value of its href; other attributes are stepped over as a whole.
+LINK = (r"""(?i)<a(?=[\s/])(?:"[^"]*"|'[^']*'|[^"'>])*?[\s"'/]href\s*=\s*"""
+        r"""("[^"]*"|'[^']*'|[^\s"'>]+)""")
+
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One row per link of a page, with the page's title and the link's place on the page."""
+    """One row per link of a page, with the page's title and the link's place on the page.
+
+    Tags and attributes may be in either case, `href` anywhere in its tag, and its value in
+    either kind of quotes or in none.
+    """
+    found = F.regexp_extract_all(html, F.lit(LINK), F.lit(1))
+    hrefs = F.transform(found, lambda x: F.regexp_replace(x, "^[\"']|[\"']$", ""))
     return pages.select(
-        url, F.regexp_extract(html, "<title>([^<]*)</title>", 1).alias("title"),
-        F.posexplode(F.regexp_extract_all(html, F.lit('<a href="([^"]*)"'), F.lit(1)))
-        .alias("position", "href"))
+        url, F.regexp_extract(html, "(?i)<title[^>]*>([^<]*)</title>", 1).alias("title"),
+        F.posexplode(hrefs).alias("position", "href"))
 
 
 class _Blocks(HTMLParser):
