@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +23,11 @@ EOS = 2
 OPEN = 16
 #: Partitions of which one task merges the leftovers, so at most so many times OPEN windows.
 MERGED = 64
-#: Words that go through the tokenizer in one call.
-TOGETHER = 2000
-#: Chunks of text whose ids a Python worker remembers; the oldest half goes when it is full.
+#: Chunks of text whose ids a Python worker remembers; half of them, which have not been met for
+#: longest, go when it is full.
 REMEMBERED = 600_000
-PUNCTUATION = b".,;:!?"
+#: ASCII marks, which end a word; the apostrophe does not, as it can begin a word's ending.
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 SEQUENCES_PER_PARTITION = 1 << 28
 
 PIECES = ("{key} {kind}, start long, length long, ids binary, doc_tokens long,"
@@ -39,66 +39,75 @@ class ChunkTokenizer:
 
     For a tokenizer file that drops white space, keeps runs of letters apart from all else and
     marks the end of each word, so that no id spans two chunks; other files are refused. A chunk
-    of Latin letters with sentence marks at its end is cut once more before the marks, and its
-    letters are looked up in lower case, as the tokenizer lower-cases. Each distinct stem goes
-    through the tokenizer once for each worker.
+    of Latin letters with marks at its end is cut once more before the marks, and its letters are
+    looked up in lower case, as the tokenizer lower-cases: such a word needs the merges alone.
+    Each distinct stem is learned once, as long as it is remembered.
+
+    What is remembered has two generations. A chunk of the older one that is met again moves to
+    the younger one; when that is full it becomes the older one, and what was not met goes.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            told = json.load(file)
-        _check(told)
+            _check(json.load(file))
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary, end = told["model"]["vocab"], told["model"]["end_of_word_suffix"]
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith(end)]] = True
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.coded = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.known: dict[bytes, bytes] = {}
+        self.aged: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         chunks = [t.encode().split() for t in texts]
-        new = set().union(*chunks).difference(self.known)
+        new = self._unknown(set().union(*chunks))
         if new:
             self._learn(new)
         get = self.known.__getitem__
         made = [b"".join(map(get, c)) for c in chunks]
-        if len(self.known) > REMEMBERED:
-            for old in list(islice(self.known, len(self.known) // 2)):
-                del self.known[old]
+        if len(self.known) > REMEMBERED // 2:
+            self.aged, self.known = self.known, {}
         return made
 
+    def _unknown(self, wanted: set[bytes]) -> set[bytes]:
+        """Those in neither generation; those in the older one alone move to the younger one."""
+        new = wanted.difference(self.known)
+        again = new.intersection(self.aged)
+        self.known.update((c, self.aged.pop(c)) for c in again)
+        return new - again
+
     def _learn(self, chunks: set[bytes]) -> None:
-        known, stems, rest = self.known, {}, []
+        known, stems, rest = self.known, {}, set()
         for c in chunks:
-            word = c.rstrip(PUNCTUATION).lower()
+            word = c.rstrip(MARKS).lower()
             if word.isalpha():
                 stems[c] = word
             elif not word.isascii() and _latin(text := word.decode()):
                 stems[c] = text.lower().encode()
             else:
-                rest.append(c)
-        known.update(self._words(list(set(stems.values()).difference(known))))
-        rest += {c[len(word):] for c, word in stems.items()}.difference(known, rest)
-        encoded = self.tokenizer.encode_batch_fast([c.decode() for c in rest],
+                rest.add(c)
+        known.update((w, self._word(w)) for w in self._unknown(set(stems.values())))
+        rest |= self._unknown({c[len(word):] for c, word in stems.items()})
+        whole = list(rest)
+        encoded = self.tokenizer.encode_batch_fast([c.decode() for c in whole],
                                                    add_special_tokens=False)
-        for c, e in zip(rest, encoded, strict=True):
+        for c, e in zip(whole, encoded, strict=True):
             known[c] = np.array(e.ids, "<u4").tobytes()
         for c, word in stems.items():
             known[c] = known[word] + known[c[len(word):]]
 
-    def _words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Single words, many in one call: their ids end where a token ends a word."""
-        for i in range(0, len(words), TOGETHER):
-            some = words[i:i + TOGETHER]
-            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(),
-                                                 add_special_tokens=False).ids, "<u4")
-            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            data, start = ids.tobytes(), 0
-            for word, stop in zip(some, stops, strict=True):
-                yield word, data[start:stop]
-                start = stop
+    def _word(self, word: bytes) -> bytes:
+        letters = (word.decode() if word.isascii()
+                   else word.decode("latin-1").translate(self.letters))
+        return b"".join([self.coded[t.id] for t in self.model.tokenize(letters)])
+
+
+def _byte_letters() -> dict[int, int]:
+    """How byte-level vocabularies write the bytes that print nothing: 256 and on, in order."""
+    silent = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b > 173)]
+    return {b: 256 + place for place, b in enumerate(silent)}
 
 
 def _latin(text: str) -> bool:
@@ -114,6 +123,8 @@ def _check(told: dict) -> None:
     if not (first.get("type") == "Split" and first.get("invert")
             and first.get("behavior") == "Removed" and "[\\p{L}]+" in letters
             and "[^\\s\\p{L}\\p{N}]+" in letters
+            and len(cuts) == 2 and cuts[1].get("type") == "ByteLevel"
+            and not cuts[1].get("add_prefix_space") and not cuts[1].get("use_regex")
             and told["model"].get("end_of_word_suffix")
             and any(n["type"] == "Lowercase" for n in
                     (told["normalizer"] or {}).get("normalizers", ()))):
