@@ -190,3 +190,45 @@ def test_captain_bonus_follows_the_rank(spark):
     for r in got.collect():
         factor = {0: 2.0, 1: 1.5}.get(r["rank"], 1.0)
         assert r.pred_points == plain[r.playername] * factor
+
+
+def test_pool_is_what_enough_others_do_not_beat(spark):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([
+        (m, f"p{i:04d}", ROLES[int(rng.integers(0, 4))], f"T{int(rng.integers(0, 3))}",
+         float(rng.normal(9, 2)) if m == 1 else float(rng.integers(14, 23)) / 2,
+         float(rng.integers(-5, 60))) for m in (1, 2) for i in range(1500)], DDL)
+    got = {(r.matchid, r.playername) for r in sel.candidates(df.repartition(7), "pred_points")
+           .collect()}
+    want, kept = set(), sel._places(LIMITS)
+    known = sel._known(df, "pred_points", LIMITS, sel.Columns()).collect()
+    groups = {}
+    for r in known:
+        groups.setdefault((r.matchid, r.role, r.slot), []).append(r)
+    for (_, role, slot), members in groups.items():
+        for p in members:
+            beaten = sum((q.steps, -q.points, [-ord(c) for c in q.playername])
+                         < (p.steps, -p.points, [-ord(c) for c in p.playername])
+                         and q.points >= p.points for q in members)
+            if beaten < kept[role, slot]:
+                want.add((p.matchid, p.playername))
+    assert got == want and len(got) < 1200 < len(known)
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_a_match_of_any_cost_over_many_batches_is_solved_exactly(spark, parts):
+    rng = np.random.default_rng(4)
+    rows = [(1, f"p{i:04d}", ROLES[int(rng.integers(0, 3))], f"T{i % 2}",
+             float(rng.normal(9, 2)), float(rng.integers(0, 60))) for i in range(600)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        df = spark.createDataFrame(rows, DDL).repartition(parts)
+        got = sel.best_teams(df, "pred_points", partitions=2).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    roles = np.array([ROLES.index(r[2]) for r in rows])
+    picked = sel.solve([r[5] for r in rows], [2 * r[4] for r in rows], roles,
+                       [i % 2 for i in range(600)])
+    assert sum(r.points for r in got) == sum(rows[i][5] for i in picked)
+    assert sorted(r["rank"] for r in got) == list(range(len(got)))
+    assert sum(r[4] for r in rows if r[1] in {g.playername for g in got}) <= 100

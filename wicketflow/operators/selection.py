@@ -1,16 +1,21 @@
 """Best team per match under role, team and budget limits, solved exactly.
 
-Spark first cuts a match's candidates to those that can matter: of players with
-the same team, role and cost only the best few can be part of an optimum. What
-is left per match is bounded by the limits, however many players the match has,
-and goes to one small numpy program per match.
+A player whom enough others of the same team and role beat, at no more cost and with no fewer
+points, is not needed: of those others one is always free to take the place. What is left is a
+skyband, and skybands of parts combine to that of the whole. So each task cuts its rows before
+the shuffle, however many players a match has, and cuts again while the rows of a match
+stream by, before one small numpy program solves it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from heapq import heappush, heapreplace
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wicketflow.config import Columns, SelectionLimits
@@ -33,9 +38,8 @@ def fill_candidates(df: DataFrame, points: str, cols: Columns = Columns()) -> Da
         F.coalesce(cols.team, F.lit("")).alias("team"))
 
 
-def candidates(df: DataFrame, points: str, limits: SelectionLimits = SelectionLimits(),
-               cols: Columns = Columns()) -> DataFrame:
-    """The players of each match that an optimal team can need.
+def _known(df: DataFrame, points: str, limits: SelectionLimits, cols: Columns) -> DataFrame:
+    """Affordable candidates as numbers: match, player, points, steps, role, slot.
 
     Team limits bind the first and the last team by name, which are the two
     teams of an ordinary match; a match of one team yields nothing. A name that
@@ -53,24 +57,98 @@ def candidates(df: DataFrame, points: str, limits: SelectionLimits = SelectionLi
     exact = F.col("cost") * limits.cost_steps
     steps = F.when(F.abs(F.round(exact) - exact) < 1e-9, F.round(exact)).otherwise(exact)
     role = F.lit(len(limits.roles))
-    need = F.lit(limits.max_players)
     for number, r in enumerate(limits.roles):
-        is_role = F.col("role") == r.name
-        role = F.when(is_role, number).otherwise(role)
-        need = F.when(is_role, min(r.at_most, limits.max_players)).otherwise(need)
-    known = once.join(teams, cols.match).select(
-        cols.match, cols.player, "points",
-        steps.alias("steps"),
-        role.alias("role"), need.alias("need"),
-        F.when(F.col("team") == F.col("first_team"), 0)
-        .when(F.col("team") == F.col("last_team"), 1).otherwise(2).alias("slot"), "refund")
-    alike = Window.partitionBy(cols.match, "slot", "role", "steps").orderBy(
-        F.col("points").desc(), F.col(cols.player).desc())
+        role = F.when(F.col("role") == r.name, number).otherwise(role)
     # Players of negative cost pay for others, all of them together for `refund` at most.
     affordable = F.col("steps") <= (F.lit(limits.max_cost) - F.col("refund")) * limits.cost_steps
-    return (known.filter(affordable).drop("refund").withColumn("_rank", F.row_number().over(alike))
-            .filter(F.col("_rank") <= limits.max_players)
-            .filter(F.col("_rank") <= F.col("need")).drop("_rank", "need"))
+    return once.join(teams, cols.match).select(
+        cols.match, cols.player, "points", steps.alias("steps"), role.alias("role"),
+        F.when(F.col("team") == F.col("first_team"), 0)
+        .when(F.col("team") == F.col("last_team"), 1).otherwise(2).alias("slot"),
+        "refund").filter(affordable).drop("refund")
+
+
+def _places(limits: SelectionLimits) -> dict[tuple[int, int], int]:
+    """Most players of each (role, slot) in a team."""
+    roles = [r.at_most for r in limits.roles] + [limits.max_players]
+    slots = (limits.max_per_team, limits.max_per_team, limits.max_players)
+    return {(role, slot): max(min(most, cap, limits.max_players), 0)
+            for role, most in enumerate(roles) for slot, cap in enumerate(slots)}
+
+
+def _needed(rows: pa.RecordBatch, match: str, player: str, places: dict) -> pa.RecordBatch:
+    """The rows that fewer players than there are places beat, in the order of matches and points.
+
+    In order of cost a row is beaten by the rows before it with as many points: the best
+    points so far, as many as there are places, tell whether there are enough of them.
+    """
+    order = pc.sort_indices(rows, [(match, "ascending"), ("role", "ascending"),
+                                   ("slot", "ascending"), ("steps", "ascending"),
+                                   ("points", "descending"), (player, "descending")])
+    rows = rows.take(order)
+    kept, group, best, most = [], None, [], 0
+    for at, (m, role, slot, value) in enumerate(zip(*(
+            rows.column(c).to_pylist() for c in (match, "role", "slot", "points")))):
+        if group != (m, role, slot):
+            group, best, most = (m, role, slot), [], places[role, slot]
+        if len(best) < most:
+            heappush(best, value)
+        elif most and value > best[0]:
+            heapreplace(best, value)
+        else:
+            continue
+        kept.append(at)
+    rows = rows.take(pa.array(kept, pa.int64()))
+    return rows.take(pc.sort_indices(rows, [(match, "ascending"), ("points", "descending"),
+                                            (player, "descending")]))
+
+
+def _each_match(batches: Iterable[pa.RecordBatch], match: str, player: str,
+                places: dict) -> Iterator[pa.RecordBatch]:
+    """The needed rows of each match of a partition in which a match's rows follow one another."""
+    held = None
+    for batch in batches:
+        start = 0
+        for end in pc.run_end_encode(batch.column(match)).run_ends.to_pylist():
+            part = batch.slice(start, end - start)
+            start = end
+            if held is not None and held.column(match)[0].equals(part.column(match)[0]):
+                part = pa.concat_batches([held, part])
+            elif held is not None:
+                yield held
+            held = _needed(part, match, player, places)
+    if held is not None:
+        yield held
+
+
+def _pool(df: DataFrame, points: str, limits: SelectionLimits, cols: Columns,
+          partitions: int | None) -> DataFrame:
+    """Rows that may be needed, a match's rows one after another in one partition."""
+    match, player, places = cols.match, cols.player, _places(limits)
+    known = _known(df, points, limits, cols)
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _needed(batch, match, player, places)
+
+    # Solving costs time per match, not per byte, but adaptive execution gathers partitions by
+    # bytes: a fixed number of partitions stays as it is.
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (known.mapInArrow(cut, known.schema).repartition(parts, match)
+            .sortWithinPartitions(match))
+
+
+def candidates(df: DataFrame, points: str, limits: SelectionLimits = SelectionLimits(),
+               cols: Columns = Columns(), partitions: int | None = None) -> DataFrame:
+    """The players of each match that an optimal team can need, for any costs.
+
+    Of players of one team, role and cost no more remain than a team has places for them, and
+    a dearer one remains only if fewer cheaper ones score as much. Team limits bind the first
+    and the last team by name; a match of one team yields nothing.
+    """
+    pool, places = _pool(df, points, limits, cols, partitions), _places(limits)
+    return pool.mapInArrow(
+        lambda batches: _each_match(batches, cols.match, cols.player, places), pool.schema)
 
 
 NONE = -np.inf
@@ -256,23 +334,20 @@ def solve(points, steps, roles, slots, limits: SelectionLimits = SelectionLimits
 def best_teams(df: DataFrame, points: str, limits: SelectionLimits = SelectionLimits(),
                cols: Columns = Columns(), partitions: int | None = None) -> DataFrame:
     """Picked players per match with their points and rank (0 = best; of equals the later name)."""
-    match, player = cols.match, cols.player
-    pool = candidates(df, points, limits, cols)
+    match, player, places = cols.match, cols.player, _places(limits)
+    pool = _pool(df, points, limits, cols, partitions)
     match_type = dict(pool.dtypes)[match]
 
-    def pick(frame: pd.DataFrame) -> pd.DataFrame:
-        # A fixed order makes the choice among equal optima repeatable.
-        frame = frame.sort_values(["points", player], ascending=False, ignore_index=True)
-        chosen = solve(frame["points"], frame["steps"], frame["role"], frame["slot"], limits)
-        team = frame.iloc[chosen or []]
-        return pd.DataFrame({match: team[match], player: team[player], "points": team["points"],
-                             "rank": np.arange(len(team))})
+    def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _each_match(batches, match, player, places):
+            numbers = [rows.column(c).to_numpy() for c in ("points", "steps", "role", "slot")]
+            team = rows.take(pa.array(solve(*numbers, limits) or [], pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*team.select([match, player, "points"]).columns,
+                 pa.array(np.arange(len(team)), pa.int32())],
+                names=[match, player, "points", "rank"])
 
-    # Solving costs time per match, not per byte, but adaptive execution gathers partitions by
-    # bytes. A fixed number of partitions by a column of its own stays as it is.
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = pool.withColumn("_spread", F.xxhash64(match)).repartition(parts, "_spread")
-    return spread.groupBy("_spread", match).applyInPandas(
+    return pool.mapInArrow(
         pick, f"`{match}` {match_type}, `{player}` string, points double, rank int")
 
 
