@@ -34,6 +34,35 @@ def test_broadcast_only_after_the_size_is_known(facts, dims):
     assert joins.fits_broadcast(dims, 3) and not joins.fits_broadcast(dims, 2)
 
 
+def test_hot_keys_are_measured_and_spread_by_their_share(spark):
+    facts = spark.range(10_000, numPartitions=7).selectExpr(
+        "case when id % 10 < 4 then 'hot' when id % 10 = 4 then null"
+        " else concat('k', id % 3000) end as k", "id as v")
+    hot, nulls = joins.hot_keys(facts, "k", 20)
+    assert list(hot.values()) == [8] and nulls == 2
+    dims = facts.select("k").distinct().selectExpr("k", "upper(k) as name")
+    got = joins.spread_join(facts, dims, "k", tasks=20)
+    assert rows(got, "k", "v", "name") == rows(facts.join(dims, "k", "left"), "k", "v", "name")
+    spread = joins.spread_join(facts.where("k = 'hot'").repartition(3), dims, "k", tasks=20)
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_salt" not in spread.columns
+    even = joins.hot_keys(facts.where("k <> 'hot'"), "k", 20)
+    assert even == ({}, 1)
+
+
+def test_two_keys_empty_facts_and_other_joins(spark):
+    facts = spark.createDataFrame([(1, "x", i) for i in range(50)] + [(2, None, 99), (2, "y", 100)],
+                                  "a bigint, b string, v bigint")
+    dims = spark.createDataFrame([(1, "x", 7), (2, "y", 8), (2, None, 9)],
+                                 "a bigint, b string, n bigint")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        got = joins.spread_join(facts, dims, ["a", "b"], how, tasks=6)
+        assert rows(got) == rows(facts.join(dims, ["a", "b"], how))
+    assert joins.spread_join(facts.limit(0), dims, ["a", "b"]).count() == 0
+    with pytest.raises(ValueError, match="right"):
+        joins.spread_join(facts, dims, ["a", "b"], "right")
+
+
 def test_null_keys_meet(spark):
     left = spark.createDataFrame([(1, None, 5), (2, "x", 6)], "m bigint, c string, v bigint")
     right = spark.createDataFrame([(1, None, 7), (2, "y", 8)], "m bigint, c string, p bigint")

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, salted fallback, key membership."""
+"""Join helpers: size-checked broadcast, measured hot keys, key membership."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 # A lookup table may be broadcast up to this many rows of a few narrow columns.
 BROADCAST_ROWS = 100_000
-SALTS = 16
+#: Hot keys that a join spreads at most; a key below one row in so many is never hot.
+HOT_KEYS = 1000
+#: Keys that the sketch of frequent keys tracks: its counts are off by less than 2 rows in so many.
+TRACKED = 16 * HOT_KEYS
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -23,27 +26,71 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left",
 
     A lookup is broadcast once its size is known to fit; `small` passes on a
     size the caller has checked already. A larger one is a shuffled join, whose
-    hot partitions adaptive execution splits. With `salts`, keys are spread by
-    hand instead: for few lookup rows against many facts per key.
+    hot partitions adaptive execution splits. With `salts`, the number of tasks to
+    spread over, hot keys are measured and spread instead: for few lookup rows
+    against many facts per key.
     """
     if fits_broadcast(lookup) if small is None else small:
         return facts.join(F.broadcast(lookup), on, how)
     if salts:
-        return salted_join(facts, lookup, on, how, salts)
+        return spread_join(facts, lookup, on, how, salts)
     return facts.join(lookup, on, how)
 
 
-def salted_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left",
-                salts: int = SALTS) -> DataFrame:
-    """Equi-join whose fact rows of one key are spread over `salts` partitions.
+def hot_keys(facts: DataFrame, on, tasks: int) -> tuple[dict[int, int], int]:
+    """Key hashes with more rows than a task's share, and over how many tasks to spread each.
 
-    The salt is a hash of the row, so a retried task sends rows to the same place.
+    Also the same number for the rows whose key holds a null (1: not hot). One pass over
+    the keys alone: a sketch of frequent items of fixed size, combined before the shuffle. Only
+    keys above the share come to the driver, fewer than `tasks` and at most `HOT_KEYS`.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    hashed = facts.select(F.when(known, F.xxhash64(*keys)).alias("_key"))
+    found = hashed.agg(
+        F.count("*").alias("rows"), F.count("_key").alias("known"),
+        F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED})").alias("top"))
+    wide = F.expr("transform(filter(top, t -> t.item is not null and"
+                  f" t.count > rows / {float(min(tasks, HOT_KEYS))}D), t ->"
+                  f" struct(t.item as key, cast(ceil(t.count * {float(tasks)}D / rows) as int)"
+                  " as copies))")
+    told = found.select("rows", "known", wide.alias("hot")).first()
+    nulls = told["rows"] - told["known"]
+    copies = {r["key"]: min(r["copies"], tasks) for r in told["hot"] or []}
+    return copies, max(1, -(-nulls * tasks // told["rows"])) if told["rows"] else 1
+
+
+def spread_join(facts: DataFrame, lookup: DataFrame, on, how: str = "left",
+                tasks: int | None = None) -> DataFrame:
+    """Equi-join (left, inner, semi or anti) that spreads hot keys of `facts` by their share.
+
+    A key with a third of the rows goes to a third of the tasks, and only its lookup rows
+    are copied as often; all other keys stay as they are. Rows without a key find nothing and
+    are spread alike. The salt is a hash of the row, so that a retried task sends rows
+    to the same place; rows that are equal in all columns stay together.
+    """
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"lookup rows are copied, so no {how} join")
+    keys = [on] if isinstance(on, str) else list(on)
+    spark = facts.sparkSession
+    tasks = tasks or _tasks(facts)
+    hot, nulls = hot_keys(facts, keys, tasks)
+    if not hot and nulls == 1:
+        return facts.join(lookup, keys, how)
+    copies = F.broadcast(spark.createDataFrame(list(hot.items()), "_key bigint, _copies int"))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    place = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]),
+                   F.when(known, F.coalesce("_copies", F.lit(1))).otherwise(nulls)).cast("int")
+    salted = (facts.withColumn("_key", F.xxhash64(*keys)).join(copies, "_key", "left")
+              .withColumn("_salt", place).drop("_key", "_copies"))
+    copied = (lookup.withColumn("_key", F.xxhash64(*keys)).join(copies, "_key", "left")
+              .withColumn("_salt", F.explode(F.sequence(
+                  F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))).drop("_key", "_copies"))
+    return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
@@ -97,14 +144,17 @@ def last_row(df: DataFrame, keys, by: str) -> DataFrame:
 
 def lookup_name(df: DataFrame, names: DataFrame, columns,
                 source: str = "feed_name", target: str = "master_name",
-                order: str | None = None) -> DataFrame:
-    """Replace names by their mapped value; unmapped names stay, the first mapping wins."""
+                order: str | None = None, small: bool | None = None) -> DataFrame:
+    """Replace names by their mapped value; unmapped names stay, the first mapping wins.
+
+    `small` passes on whether the names fit a broadcast; if they do not, hot names are spread.
+    """
     first = (names.filter(F.col(source).isNotNull())
              .groupBy(source).agg(F.min_by(target, order or target).alias(target)))
-    small = fits_broadcast(first)
+    small = fits_broadcast(first) if small is None else small
     for column in columns:
         mapped = first.select(F.col(source).alias(column), F.col(target).alias("_mapped"))
-        df = (lookup_join(df, mapped, column, small=small, salts=SALTS)
+        df = (lookup_join(df, mapped, column, small=small, salts=_tasks(df))
               .withColumn(column, F.coalesce("_mapped", column)).drop("_mapped"))
     return df
 
@@ -113,7 +163,7 @@ def map_names_inner(df: DataFrame, names: DataFrame, column: str,
                     source: str = "feed_name", target: str = "master_name") -> DataFrame:
     """Replace names through a map; unmapped rows are lost and repeated keys multiply."""
     mapped = names.select(F.col(source).alias(column), F.col(target).alias("_mapped"))
-    return (lookup_join(df, mapped, column, "inner", salts=SALTS)
+    return (lookup_join(df, mapped, column, "inner", salts=_tasks(df))
             .withColumn(column, F.col("_mapped")).drop("_mapped"))
 
 

@@ -492,6 +492,11 @@ select sequence, coalesce(a.master_name, batsman) as batsman,
 from feed left join first_name a on a.feed_name = batsman
 left join first_name b on b.feed_name = bowler
 left join first_name c on c.feed_name = nonstriker""")
+add("heavy_names", FEED + NAMES, """
+select sequence, coalesce(master_name, player) as player
+from (select sequence, case when sequence % 5 < 2 then 'P-1' when sequence % 5 = 2 then batsman
+        when sequence % 7 > 0 then bowler end as player from feed)
+left join first_name on feed_name = player""")
 add("feed_completeness", FEED, """
 select eventid, innings, "over" as last_over, "over" >= 19.6 as complete
 from (select *, row_number() over (partition by eventid, innings
