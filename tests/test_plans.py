@@ -11,6 +11,7 @@ from wicketflow.plans import backtest as full
 from wicketflow.plans import models, nextmatch, update
 from wicketflow.plans.train import Rules, Tables, train
 from wicketflow.queries import views
+from wicketflow.session import stage
 from wicketflow.streaming.feed import stream_updates
 
 SF = "/root/testdata/sf0.001"
@@ -189,6 +190,31 @@ def test_next_match_frame_needs_only_part_of_the_history(spark):
     assert {r.total_bat_points_venue_avg2 for r in got.values()} == {wanted}
 
 
+@pytest.mark.parametrize("cuts", [(), (5, 29)])
+def test_tails_merged_forward_equal_the_full_history(spark, cuts):
+    points, info = (stage(df) for df in scored(spark))
+    costs = spark.createDataFrame(
+        [("p0", "T0", "Batsmen", 9.0), ("p1", "T1", "Bowler", 8.0), ("rookie", "T1", "Bowler", 8.5),
+         ("rookie", "T0", "Bowler", 8.0), ("other", "T7", "Bowler", 8.5)],
+        "playername string, playing_team string, playing_role string, playercost double")
+    coming = ("T0", "T1", "Bengaluru", "M Chinnaswamy Stadium", "T1", 2021)
+    wanted = nextmatch.next_match_frame(points, info, costs, *coming)
+    edges = [-1, *cuts, 10 ** 6]
+    state = None
+    # Batches in falling order: later ones hold older matches.
+    for low, high in reversed(list(zip(edges, edges[1:]))):
+        part = points.filter((F.col("matchid") > low) & (F.col("matchid") <= high))
+        batch = nextmatch.stored_tails(nextmatch.history_tails(part, info))
+        state = batch if state is None else nextmatch.stored_tails(
+            nextmatch.merged_tails(state, batch))
+    got = nextmatch.next_match_from_tails(state, costs, *coming)
+    columns = [c for c in got.columns if c in wanted.columns and c != "player_match_count"]
+    assert [c for c in columns if "_avg" in c] and rows(got, *columns) == rows(wanted, *columns)
+    assert rows(got, "playername", "player_match_count") == rows(
+        wanted, "playername", "player_match_count")
+    assert state.players.filter("size(tail) > 10").isEmpty()
+
+
 def test_squad_restriction(spark):
     frame = spark.createDataFrame([(9, "x", "A"), (9, "y", "A"), (9, "z", "B")],
                                   "matchid bigint, playername string, playing_team string")

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wicketflow.config import Cleaning, Columns, FeatureRules, SelectionLimits
 from wicketflow.functions.text import canonical
-from wicketflow.operators.features import add_teams, features, recent_squad
+from wicketflow.operators.features import (
+    add_flags, add_match_info, add_teams, clean_matches, features, recent_squad,
+)
 from wicketflow.operators.joins import append_outer, keep_known, lookup_join
+from wicketflow.operators.rolling import match_totals
 from wicketflow.operators.selection import best_teams
+from wicketflow.operators.tails import merge_tails, tail_means, tails
 from wicketflow.session import stage
 
 REPORT_KEYS = ("matchid", "playername", "playing_role", "playing_team", "playercost")
@@ -56,6 +62,68 @@ def _relevant(points: DataFrame, squad: DataFrame, matches: DataFrame, venue: st
     return marked.filter("_player or _here").select(*points.columns)
 
 
+@dataclass(frozen=True)
+class Tails:
+    """What features of a coming match need of the past: a row per player and per venue."""
+
+    players: DataFrame
+    venues: DataFrame
+
+
+def history_tails(points: DataFrame, matches: DataFrame, cleaning: Cleaning = Cleaning(),
+                  rules: FeatureRules = FeatureRules()) -> Tails:
+    """The tails of whole matches."""
+    depth = max(rules.windows)
+    played = match_totals(points, "matchid", "playername", rules.player_columns, "_rows")
+    places = add_match_info(points.select("matchid", *rules.venue_columns),
+                            clean_matches(matches, cleaning))
+    hosted = match_totals(places, "matchid", "venue", rules.venue_columns)
+    return Tails(tails(played, "matchid", "playername", rules.player_columns, depth, "_rows"),
+                 tails(hosted, "matchid", "venue", rules.venue_columns, depth))
+
+
+def stored_tails(state: Tails) -> Tails:
+    """The tails written once and read back, as each merge and frame uses them more than once."""
+    return Tails(stage(state.players, "player-tails"), stage(state.venues, "venue-tails"))
+
+
+def merged_tails(state: Tails, batch: Tails, rules: FeatureRules = FeatureRules()) -> Tails:
+    """The tails after a batch of matches that the state does not hold yet."""
+    depth = max(rules.windows)
+    return Tails(
+        merge_tails(state.players, batch.players, "matchid", "playername", rules.player_columns,
+                    depth),
+        merge_tails(state.venues, batch.venues, "matchid", "venue", rules.venue_columns, depth))
+
+
+def next_match_from_tails(state: Tails, squad_costs: DataFrame, team1: str, team2: str, city: str,
+                          venue: str, toss_winner: str, year: int,
+                          cleaning: Cleaning = Cleaning(),
+                          rules: FeatureRules = FeatureRules()) -> DataFrame:
+    """As `next_match_frame`, from the tails alone: no history is read.
+
+    Only the tails of the squad's players and of the venue leave the scans.
+    """
+    matchid = (state.players.agg(F.max("newest")).first()[0] or 0) + 1
+    squad = upcoming_squad(squad_costs, team1, team2, matchid)
+    teams = {c: canonical(F.col(c), cleaning.team) if cleaning.rename_teams else F.col(c)
+             for c in ("playing_team", "opposition_team")}
+    place = canonical(F.lit(venue), cleaning.venue)
+    known = add_flags(squad.withColumns(teams | {
+        "year": F.lit(year).cast("bigint"), "city": canonical(F.lit(city), cleaning.city),
+        "venue": place, "home_team": F.lit(team1), "away_team": F.lit(team2),
+        "toss_winner": F.lit(toss_winner)}))
+    of_players = tail_means(keep_known(state.players, squad, "playername"), "playername",
+                            rules.player_columns, rules.windows)
+    of_venue = tail_means(state.venues.filter(F.col("venue") == place), "venue",
+                          rules.venue_columns, rules.windows).drop("running")
+    again = Window.partitionBy("playername").orderBy("playing_team")
+    return (known.join(of_players, "playername", "left").join(of_venue, "venue", "left")
+            .withColumn("player_match_count",
+                        F.coalesce("running", F.lit(0)) + F.row_number().over(again))
+            .drop("running"))
+
+
 def restrict_to_squad(frame: DataFrame, announced: DataFrame | None,
                       history: DataFrame, matches_back: int = 2) -> DataFrame:
     """Keep announced players; before the announcement, those of each team's last matches."""

@@ -582,7 +582,8 @@ NEXT = SCORE + [
                " coalesce(ot, opposition_team) as opposition_team) from teams"),
     ("known", KNOWN.format(teams="teams2", clean="clean")),
     *lag_ctes("known", "venue", VENUE), *lag_ctes("known", "playername", PLAYER)]
-add("next_match_frame", NEXT, f"""
+for frame in ("next_match_frame", "next_match_tails"):
+    add(frame, NEXT, f"""
 select matchid, playername, playing_team, opposition_team, playing_role, playercost, year, city,
   venue, home_game, toss_flag, player_match_count, {rounded(LAG_COLUMNS)}
 from known left join venue_lags using (matchid, venue)

@@ -485,20 +485,41 @@ def next_match(spark, d):
     return fd.next_match(v.matches(spark, d), "2015-06-01T00:00Z")
 
 
-@query
-def next_match_frame(spark, d):
-    scored = stage(_points(spark, d))
+#: Teams, city, venue, toss winner and year of the coming match.
+COMING = ("Team0", "Team1", "Mumbai", "Wankhede Stadium, Mumbai", "Team0", 2020)
+
+
+def _coming_squad(spark, d, scored):
     roles = scored.select("playername", "playing_role").distinct()
-    costs = (v.players(spark, d).select("playername", "playing_team", "playercost").distinct()
-             .join(roles, "playername"))
-    frame = nextmatch.next_match_frame(
-        scored, stage(v.matches(spark, d)), costs, "Team0", "Team1", "Mumbai",
-        "Wankhede Stadium, Mumbai", "Team0", 2020)
+    return (v.players(spark, d).select("playername", "playing_team", "playercost").distinct()
+            .join(roles, "playername"))
+
+
+def _frame_columns(frame):
     return frame.select(
         *KEYS, "playing_team", "opposition_team", "playing_role", "playercost", "year", "city",
         "venue", "home_game", "toss_flag", "player_match_count", *rounded(LAGS))
 
 
+@query
+def next_match_frame(spark, d):
+    scored = stage(_points(spark, d))
+    return _frame_columns(nextmatch.next_match_frame(
+        scored, stage(v.matches(spark, d)), _coming_squad(spark, d, scored), *COMING))
+
+
+@query
+def next_match_tails(spark, d):
+    """The frame of the next match from tails that an update has merged forward."""
+    _, high = _cut(spark, d)
+    scored, info = stage(_points(spark, d)), stage(v.matches(spark, d))
+    state, batch = (nextmatch.stored_tails(nextmatch.history_tails(scored.filter(part), info))
+                    for part in (F.col("matchid") <= high, F.col("matchid") > high))
+    kept = nextmatch.stored_tails(nextmatch.merged_tails(state, batch))
+    return _frame_columns(nextmatch.next_match_from_tails(
+        kept, _coming_squad(spark, d, scored), *COMING))
+
+
 @query
 def semi_squad(spark, d):
     squad = v.players(spark, d).select(*KEYS)
