@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wicketflow.config import Cleaning, FeatureRules, PointsRules, RoleRules
+from wicketflow.functions.nulls import not_in
 from wicketflow.operators.features import features
 from wicketflow.operators.forecast import walk_forward
 from wicketflow.operators.points import player_points
@@ -74,12 +75,14 @@ def score_deliveries(deliveries: DataFrame, rules: Rules = Rules()) -> DataFrame
 
 def train(deliveries: DataFrame, matches: DataFrame, tables: Tables, models,
           hold_out_years=(2019,), rules: Rules = Rules(), fit_scaler_on: str = "all",
-          use_forecast: bool = False, costs: DataFrame | None = None) -> dict[str, str]:
+          use_forecast: bool = False, costs: DataFrame | None = None,
+          stop_early=()) -> dict[str, str]:
     """Score, build features, fit and save the named models; returns the model paths.
 
     `costs` (matchid, playername, playercost) adds each player's cost, which picking teams
     needs; the greatest one counts if a player has several. Without it the cost is null.
     `fit_scaler_on`: `all` also uses the held-out years, `train` only the training rows.
+    `stop_early` names the boosted models that stop when the held-out years get no better.
     `use_forecast` adds the walk-forward forecast of each player as a predictor.
     """
     points = tables.write(score_deliveries(deliveries, rules), "points")
@@ -102,5 +105,9 @@ def train(deliveries: DataFrame, matches: DataFrame, tables: Tables, models,
             continue
         scale_on = frame if fit_scaler_on == "all" else rows
         paths[name] = tables.path(f"models/{name}")
-        save_model(fit_model(name, rows, plan, scale_on), paths[name])
+        known, held = rows, None
+        if name in stop_early:
+            known, held = frame.withColumn(
+                "_held", ~not_in(F.col("year"), list(hold_out_years))), "_held"
+        save_model(fit_model(name, known, plan, scale_on, held), paths[name])
     return paths

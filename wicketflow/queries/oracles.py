@@ -303,6 +303,15 @@ select page_id, cast(0 as int) as block, trim(replace(replace(replace(replace(
   cast(null as varchar) as link
 from pages where html like '%<div class="ad">%'""")
 
+add("match_list", MATCH, """
+select cast(year as varchar) as ipl, case when whole then date else cast(year as varchar) end as date,
+  case when whole then cast(matchid as varchar) end as eventid,
+  concat(team1, ' ', matchid % 200, '/4') as inningsinfo1,
+  concat(team2, ' & others') as inningsinfo2, case when whole then result end as matchstatus,
+  case when whole then concat('http://host/series/8048/game/', matchid, '/commentary/', year) end
+    as commentary_link
+from matches, (values (true), (false)) as blocks(whole)""")
+
 BAT = ("matchid, playername, total_runs, total_balls_faced, total_legal_balls_faced, run_6, run_4,"
        " fallofwickets, batsmen_innings, batsmen_battingteam, batsmen_bowlingteam")
 BOWL = ("matchid, playername, total_wickets, total_balls_bowled, total_legal_balls_bowled,"
@@ -348,6 +357,7 @@ add("lean_patch", FEATURES, "select matchid, playername, " + ", ".join(
     + " from features")
 add("predict_moving_average", FEATURES, """
 select matchid, playername, round(total_points_playername_avg3, 6) as pred_points from features""")
+add("saved_model", INFO, "select matchid, playername, true as same from known")
 add("train_test_split", INFO, """
 select matchid, playername, case when year in (2019) then 'test' else 'train' end as part
 from known""")
@@ -467,6 +477,22 @@ group by 1""")
 add("next_match", MATCH, """
 select matchid, date, team1, team2, split_part(venue, ',', 1) as venue from matches
 where date > '2015-06-01T00:00Z' order by date, matchid, team1, team2 limit 1""")
+add("announced_squad", INFO + SQUAD[1:], """
+, coming as (
+  select distinct s.playername, s.playing_team, s.playercost, r.playing_role
+  from players s join (select distinct playername, playing_role from points) r using (playername)
+  where s.playing_team in ('Team0', 'Team1')),
+recent as (
+  select playername from (
+    select *, dense_rank() over (partition by playing_team order by matchid desc) as r
+    from teams where playing_team in ('Team0', 'Team1'))
+  where r <= 2)
+select 'announced' as state, playername, playing_team, playercost from coming
+where playername in (select playername from players
+                     where matchid = (select max(matchid) from players))
+union all
+select 'recent', playername, playing_team, playercost from coming
+where playername in (select playername from recent)""")
 add("semi_squad", SQUAD, """
 select matchid, playername from players
 where playername in (select playername from players

@@ -174,6 +174,11 @@ def html_blocks(spark, d):
     return html.class_blocks(found, "ad", {"text": "ad"})
 
 
+@query
+def match_list(spark, d):
+    return html.match_list(v.series_pages(spark, d))
+
+
 # Scorecards and points.
 
 @query
@@ -376,6 +381,19 @@ def predict_gbt_cat(spark, d):
     return _predicted(spark, d, "gbt_cat")
 
 
+@query
+def saved_model(spark, d):
+    """Rows with a prediction, and whether a model read back from its files predicts the same."""
+    frame = stage(_features(spark, d))
+    plan = models.ModelPlan(search={"gbt": {"maxDepth": [2], "maxIter": [2]}})
+    model = models.fit_model("gbt", frame, plan)
+    path = fresh_path(spark, "model")
+    models.save_model(model, path)
+    both = models.predict(models.load_model(path),
+                          models.predict(model, frame, "before"), "after")
+    return both.select(*KEYS, (F.col("before") == F.col("after")).alias("same"))
+
+
 @query
 def feature_importance(spark, d):
     frame = stage(_features(spark, d))
@@ -520,6 +538,19 @@ def next_match_tails(spark, d):
         kept, _coming_squad(spark, d, scored), *COMING))
 
 
+@query
+def announced_squad(spark, d):
+    """The coming match's players: those announced, and those of recent matches before that."""
+    scored = stage(_points(spark, d))
+    squad = nextmatch.upcoming_squad(_coming_squad(spark, d, scored), *COMING[:2], 0)
+    announced = v.players(spark, d).filter(
+        F.col("matchid") == v.last_match(spark, d)).select("playername")
+    return reduce(DataFrame.unionByName, [
+        nextmatch.restrict_to_squad(squad, names, scored).select(
+            F.lit(state).alias("state"), "playername", "playing_team", "playercost")
+        for state, names in (("announced", announced), ("recent", None))])
+
+
 @query
 def semi_squad(spark, d):
     squad = v.players(spark, d).select(*KEYS)

@@ -151,6 +151,19 @@ def schedule_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             'statusText', result))))) as page""")
 
 
+def series_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each match as a series page of two blocks, one of them without status and link."""
+    block = """'<div class="x default-match-block"><p>Match <span class="bold">', {date},
+        '</span></p><br><div class="innings-info-1">', team1, ' <b>', matchid % 200, '/4</b></div>',
+        '<div class=innings-info-2>', team2, ' &amp; others</div>'"""
+    link = """'<div class="match-status"> ', result, '</div><a href="http://host/series/8048/game/',
+        matchid, '/scorecard/', year, '">Scorecard</a>'"""
+    page = (f"concat('<title>', year, '</title><span class=\"bold\">menu</span>',"
+            f" {block.format(date='date')}, {link}, '</div>',"
+            f" {block.format(date='year')}, '</div><div class=\"match-status\">after</div>')")
+    return matches(spark, sf_dir).selectExpr("cast(year as string) as ipl", f"{page} as html")
+
+
 def squad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each squad entry as a JSON page of two blocks; every third match is not announced yet."""
     return squads(spark, sf_dir).selectExpr("matchid", """to_json(named_struct('content', named_struct(
