@@ -1,7 +1,9 @@
 """Matches that land in pieces: held in state, let go whole, appended all or nothing."""
 
 import datetime as dt
+import hashlib
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,8 +12,9 @@ from tests.conftest import rows
 from wicketflow.plans import update
 from wicketflow.plans.train import Tables, score_deliveries
 from wicketflow.queries import views
+from wicketflow.session import state_on_disk
 from wicketflow.streaming.feed import stream_updates
-from wicketflow.streaming.release import Hold, is_whole, release
+from wicketflow.streaming.release import Hold, _hold, is_whole, release
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "eventid long, innings string, sequence long, over double, runs int, landed timestamp"
@@ -148,3 +151,47 @@ def test_a_held_stream_equals_one_batch(spark, tmp_path):
     assert rows(tables.read(spark, "points").where("matchid >= 20").select("matchid").distinct()) \
         == rows(whole.select("matchid").distinct())
     fresh.unpersist()
+
+
+class Held:
+    """A group's state as `_hold` sees it."""
+
+    exists = hasTimedOut = False
+    get = None
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+    def setTimeoutTimestamp(self, at):
+        self.at = at
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+    def remove(self):
+        self.exists = False
+
+
+def test_the_state_of_a_match_is_small_and_comes_out_whole():
+    texts = ['{"name": "%d", "text": "%s"}' % (i, "long and alike " * 40) for i in range(300)]
+    state = Held()
+    for part in (texts[:100], texts[50:200], texts[200:], texts):
+        frame = pd.DataFrame({
+            "unique": [hashlib.md5(t.encode()).digest() for t in part], "innings": "1st",
+            "over": 19.6, "landed": 5, "row": part})
+        assert list(_hold((1,), iter([frame]), state, Hold(sides=1))) == []
+    digests, parts, _, last = state.get
+    assert len(digests) + sum(map(len, parts)) < sum(map(len, texts)) / 10 and last == 5
+    state.hasTimedOut = True
+    out, = _hold((1,), iter([]), state, Hold(sides=1))
+    assert list(out["row"]) == texts and out["complete"].all() and not state.exists
+
+
+def test_state_is_kept_on_disk(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    with state_on_disk(spark):
+        got, progress = run(spark, tmp_path, [[(r, 0) for r in match(1)], [(NOBODY, 30)]])
+    assert got[1] == sorted((*r, True) for r in match(1))
+    assert any(k.startswith("rocksdb") for k in progress["stateOperators"][0]["customMetrics"])
+    assert spark.conf.get(provider, None) == before

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wicketflow import schemas
 from wicketflow.plans.train import Tables
 from wicketflow.plans.update import append_to_tables
+from wicketflow.session import state_on_disk
 from wicketflow.streaming.release import Hold, release
 
 INCOMPLETE = "incomplete"
@@ -40,5 +41,6 @@ def stream_updates(spark: SparkSession, landing: str, matches: DataFrame, tables
         finally:
             batch.unpersist()
 
-    return (rows.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    with state_on_disk(spark):
+        return (rows.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start())
