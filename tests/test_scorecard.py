@@ -154,3 +154,29 @@ def test_points_are_null_without_a_ball(spark):
             " economy_rate double"))
     got = player_points(df).first()
     assert (got.total_bat_points, got.total_bowl_points, got.total_points) == (None, None, None)
+
+
+def test_balls_shrink_to_a_row_per_side_before_the_shuffle(spark):
+    balls = [ball("P", "Q", over=(i % 120) / 10, score=i % 7) for i in range(2000)]
+    balls += [ball("Q", "P", over=i % 20 + 0.3, innings="2", bat="T2", bowl="T1") for i in range(90)]
+    df = spark.createDataFrame(balls, DDL)
+    seen = sc._seen_by(df, sc._as_batter(), sc._as_bowler())
+    assert sc._per_side(seen).count() == 4
+
+
+def test_overs_of_any_form(spark):
+    overs = [0.1, 0.1, 3.05, 3.05, 3.1, 19.6, 20.0, 25.3, 45.31, -0.5, None, 1234567.5]
+    runs = [0, 1, -1, 0, 1, None, 0, 2, 0, -1, 0, 0]
+    both = [ball("P", "Q", over=o, off_bat=0, innings=str(i % 2)) for i, o in enumerate(overs)]
+    both = [(*b[:9], r, *b[10:]) for b, r in zip(both, runs)]
+    got = {r for r in map(tuple, sc.match_card(spark.createDataFrame(both, DDL)).select(
+        "playername", "total_legal_balls_faced", "total_legal_balls_bowled", "total_balls_bowled",
+        "total_runs_given", "maiden_overs").collect())}
+    distinct = len({o for o in overs if o is not None})
+    sums = {}
+    for o, r in zip(overs, runs):
+        if o is not None:
+            sums[int(o)] = sums.get(int(o), 0) + (r or 0)
+    maidens = sum(total == 0 for total in sums.values())
+    assert got == {("P", distinct, None, None, None, None),
+                   ("Q", None, distinct, len(overs) - 1, 2.0, maidens)}
