@@ -232,3 +232,10 @@ def test_a_match_of_any_cost_over_many_batches_is_solved_exactly(spark, parts):
     assert sum(r.points for r in got) == sum(rows[i][5] for i in picked)
     assert sorted(r["rank"] for r in got) == list(range(len(got)))
     assert sum(r[4] for r in rows if r[1] in {g.playername for g in got}) <= 100
+
+
+def test_tables_are_worked_on_where_they_are_reached():
+    table = np.full((3, 4, 1, 50), sel.NONE)
+    assert sel._reached(table) == ([0, 0, 0, 0], [0, 0, 0, 0])
+    table[1, 2, 0, 7] = table[2, 1, 0, 30] = 5.0
+    assert sel._reached(table) == ([1, 1, 0, 7], [3, 3, 1, 31])

@@ -170,6 +170,18 @@ def _best_by_count_and_cost(points, steps, most: int, budget: int) -> list[np.nd
     return tables
 
 
+def _reached(table: np.ndarray) -> tuple[list[int], list[int]]:
+    """Along each side of the table, the first place that holds an entry and the one after the last.
+    """
+    low, high = [], []
+    held = table > NONE
+    for side in range(table.ndim):
+        places = np.flatnonzero(held.any(axis=tuple(x for x in range(table.ndim) if x != side)))
+        low.append(int(places[0]) if len(places) else 0)
+        high.append(int(places[-1]) + 1 if len(places) else 0)
+    return low, high
+
+
 def _useful(table: np.ndarray) -> list[tuple[int, int, float]]:
     """(count, cost, points) entries that no cheaper entry of the same count matches."""
     out = []
@@ -306,10 +318,13 @@ def solve(points, steps, roles, slots, limits: SelectionLimits = SelectionLimits
     for entries in options:
         grown = np.full(shape, NONE)
         before = states[-1]
+        # Nothing grows from what is not reached, and most of a table is empty.
+        (a0, b0, c0, s0), (a1, b1, c1, s1) = _reached(before)
         for a, b, c, cost, value, *_ in entries:
-            target = grown[a:, b:, c:, cost:]
-            source = before[:shape[0] - a, :shape[1] - b, :shape[2] - c, :shape[3] - cost]
-            np.maximum(target, source + value, out=target)
+            a2, b2 = min(a1, shape[0] - a), min(b1, shape[1] - b)
+            c2, s2 = min(c1, shape[2] - c), min(s1, shape[3] - cost)
+            target = grown[a0 + a:a2 + a, b0 + b:b2 + b, c0 + c:c2 + c, s0 + cost:s2 + cost]
+            np.maximum(target, before[a0:a2, b0:b2, c0:c2, s0:s2] + value, out=target)
         states.append(grown)
     count = np.add.outer(np.add.outer(np.arange(shape[0]), np.arange(shape[1])),
                          np.arange(shape[2]))[..., None]
