@@ -120,3 +120,12 @@ def test_decoding_any_ids(spark, path, library):
 def test_other_files_are_refused():
     with pytest.raises(ValueError, match="byte-level"):
         bpe.Encoder(queries.tokenizer_file("word_bpe_49k.json"))
+
+
+def test_ascii_pieces_are_those_of_the_general_pattern(path, library):
+    rng, mine = random.Random(4), bpe.Encoder(path)
+    letters = [chr(i) for i in range(128)] + list("   aAsStTlL''..\n\n\t\x1c\x1d\x1f")
+    for _ in range(2000):
+        text = "".join(rng.choices(letters, k=rng.randrange(60)))
+        assert bpe._ASCII_PIECES.findall(text) == bpe._PIECES.findall(text)
+        assert mine.encode(text) == wanted(library, text)[0]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import struct
 from collections.abc import Callable
 from itertools import islice
 
@@ -31,6 +32,10 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 #: Fixed: how byte-level BPE splits a text into the pieces that it merges.
 _PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The same for ASCII texts; the standard module counts four separators more as white space.
+_ASCII_PIECES = re.compile(
+    r" ?[A-Za-z]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+"
+    r"|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 
 
 def byte_letters() -> list[str]:
@@ -166,6 +171,7 @@ class Encoder:
         model = told["model"]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.merges = Merges(model["vocab"], pairs)
+        self.coded = [struct.pack("<I", i) for i in self.merges.ids]
         self.split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         special = sorted((t["content"] for t in told["added_tokens"]), key=len, reverse=True)
         self.special = {t["content"]: _bytes([t["id"]]) for t in told["added_tokens"]}
@@ -191,7 +197,9 @@ class Encoder:
 
     def _part(self, text: str) -> bytes:
         # Up to here all versions of Unicode agree on letters, numbers and spaces.
-        if text.isascii() or max(text) < "\u0530":
+        if text.isascii():
+            pieces = _ASCII_PIECES.findall(text)
+        elif max(text) < "\u0530":
             pieces = _PIECES.findall(text)
         else:
             pieces = [text[a:b] for _, (a, b) in self.split(text)]
@@ -204,10 +212,18 @@ class Encoder:
         return made
 
     def _learn(self, pieces: set[str]) -> None:
-        known, number, ids_of = self.known, self.merges.encode, self.merges.ids
+        known, coded, whole = self.known, self.coded, self.merges.number
+        number, space = self.merges.encode, _LETTERS[ord(" ")]
         for piece in pieces:
-            letters = piece.encode().decode("latin-1").translate(_LETTERS)
-            known[piece] = ids = _bytes([ids_of[t] for t in number(letters)])
+            word = piece[1:] if piece[0] == " " else piece
+            if word.isascii() and word.isalnum():
+                # Such letters stand for themselves.
+                letters = word if word is piece else space + word
+            else:
+                letters = piece.encode().decode("latin-1").translate(_LETTERS)
+            token = whole.get(letters)
+            known[piece] = ids = (b"".join([coded[t] for t in number(letters)]) if token is None
+                                  else coded[token])
             self.held += len(piece) + len(ids) + ENTRY_BYTES
 
     def _forget(self) -> None:
