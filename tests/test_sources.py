@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wicketflow import schemas
+from wicketflow.queries import views
 from wicketflow.sources import feed, files, html, pages
 
 
@@ -195,3 +196,31 @@ def test_broken_pages_are_set_aside(spark, tmp_path):
     faults = dict(rows(broken, "id", "fault"))
     assert faults == {2: "broken", 3: "broken", 4: "no text", 5: "no text", 6: "no text",
                       7: "no content", 8: "no content", 9: "broken", 10: faults[10]}
+
+
+def lines(spark, folder):
+    """Order lines, some without a number, quantity, supplier or flag."""
+    spark.range(240).selectExpr(
+        "if(id % 11 = 3, null, id div 4) as l_orderkey", "id * 7 % 90 as l_partkey",
+        "if(id % 13 = 5, null, id % 40) as l_suppkey", "cast(id % 4 as int) as l_linenumber",
+        "if(id % 17 = 2, null, cast(1 + id % 50 as double)) as l_quantity",
+        "if(id % 3 = 0, 'R', if(id % 3 = 1, 'N', null)) as l_returnflag",
+        "if(id % 2 = 0, 'F', 'O') as l_linestatus").write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_pages_of_deliveries_are_made_outside_of_their_reading(spark, tmp_path):
+    made = views.play_pages(spark, lines(spark, tmp_path))
+    plan = pages.feed_deliveries(made)._jdf.queryExecution().executedPlan().toString()
+    reading = [line for line in plan.splitlines() if "from_json" in line]
+    assert len(reading) == 1 and not any(
+        word in reading[0] for word in ("named_struct", "concat", "invoke", "Team"))
+
+    found = made.select("sequence", "page").collect()
+    assert len(found) == 240
+    for sequence, page in found:
+        first, empty, decoy = json.loads(page)["commentary"]["items"]
+        assert empty == {} and first.get("sequence") == sequence
+        assert decoy.get("sequence") == (None if sequence is None else sequence + 1)
+        assert {**first, "sequence": 0} == {**decoy, "sequence": 0}
+        assert first["periodText"] in ("1st innings", "2nd innings")

@@ -105,8 +105,8 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def play_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each delivery as a JSON page: its item, an empty item, and one that must not be read."""
-    item = """named_struct(
-        'sequence', sequence + {0}, 'periodText', innings,
+    rest = """named_struct(
+        'periodText', innings,
         'innings', named_struct('balls', ball, 'legByes', fallofwickets % 2, 'totalRuns', runs,
             'fallOfWickets', fallofwickets, 'runRate', runrate, 'target', target,
             'remainingBalls', remainingballs),
@@ -123,12 +123,16 @@ def play_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         'athletesInvolved', if(dismissal,
             array(named_struct('id', bowlerid, 'name', bowler)), array()),
         'homeScore', homescore, 'awayScore', awayscore)"""
+    # The two items differ in their sequence alone, so the rest is made once.
     one = feed(spark, sf_dir).selectExpr(
-        "ipl_season", "eventid", "sequence", f"to_json({item.format(0)}) as item",
-        f"to_json({item.format(1)}) as decoy")
-    return one.select("ipl_season", "eventid", "sequence", F.concat(
-        F.lit('{"commentary":{"items":['), "item", F.lit(",{},"), "decoy", F.lit("]}}"))
-        .alias("page"))
+        "ipl_season", "eventid", "sequence", f"substr(to_json({rest}), 2) as rest")
+    item = "'{{', coalesce(concat('\"sequence\":', sequence + {0}, ','), ''), rest"
+    # As the element of an array a page is made by generated code; Spark would else make it
+    # within the reading of JSON, which interprets its input term by term.
+    return one.selectExpr(
+        "ipl_season", "eventid", "sequence", "explode(array(concat("
+        f"'{{\"commentary\":{{\"items\":[', {item.format(0)}, ',{{}},', {item.format(1)}, ']}}}}'"
+        "))) as page")
 
 
 def damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,9 +25,12 @@ def _is_empty(item: Column) -> Column:
 def play_items(pages: DataFrame, page: str = "page") -> DataFrame:
     """One row per item of a play-by-play page; the first empty item ends the page."""
     parsed = pages.withColumn("_items", F.from_json(page, schemas.PLAY_PAGE)["commentary"]["items"])
-    end = F.array_position(F.transform("_items", _is_empty), F.lit(True)).cast("int")
-    kept = F.when(end > 0, F.slice("_items", F.lit(1), end - 1)).otherwise(F.col("_items"))
-    return parsed.select(*[c for c in pages.columns if c != page],
+    # A column of its own, so that the items are looked through once.
+    placed = parsed.withColumn("_end", F.array_position(
+        F.transform("_items", _is_empty), F.lit(True)).cast("int"))
+    kept = F.when(F.col("_end") > 0, F.slice("_items", F.lit(1), F.col("_end") - 1)).otherwise(
+        F.col("_items"))
+    return placed.select(*[c for c in pages.columns if c != page],
                          F.explode(kept).alias("item"))
 
 
