@@ -224,3 +224,10 @@ def test_pages_of_deliveries_are_made_outside_of_their_reading(spark, tmp_path):
         assert decoy.get("sequence") == (None if sequence is None else sequence + 1)
         assert {**first, "sequence": 0} == {**decoy, "sequence": 0}
         assert first["periodText"] in ("1st innings", "2nd innings")
+
+
+def test_matches_sort_no_deliveries(spark, tmp_path):
+    found = views.matches(spark, lines(spark, tmp_path))
+    assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found, "matchid", "team1", "team2") == [
+        (None, None, None), (0, "Team0", "Team1"), (1, "Team1", "Team2")]
