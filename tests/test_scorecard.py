@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wicketflow.operators import scorecard as sc
@@ -180,3 +181,26 @@ def test_overs_of_any_form(spark):
     maidens = sum(total == 0 for total in sums.values())
     assert got == {("P", distinct, None, None, None, None),
                    ("Q", None, distinct, len(overs) - 1, 2.0, maidens)}
+
+
+def test_deliveries_of_a_match_lie_together_however_they_are_stored(spark):
+    balls = [ball(f"B{i % 10}", f"W{i % 7}", over=i % 120 / 10, match=i % 40) for i in range(4000)]
+    df = spark.createDataFrame(balls, DDL).repartition(8)
+    seen = sc._seen_by(df, sc._as_batter(), sc._as_bowler())
+    places = seen.select("matchid", F.spark_partition_id().alias("place")).distinct().count()
+    assert places <= 40 + 4 - 1
+
+
+def test_a_large_match_is_spread_over_tasks(spark):
+    balls = [ball("B", "W", over=i % 120 / 10, match=7) for i in range(4000)]
+    balls += [ball(match=m) for m in (None, 1, 2, 8, 9)]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        seen = sc._seen_by(spark.createDataFrame(balls, DDL), sc._as_batter(), sc._as_bowler())
+        sizes = seen.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sum(r["count"] for r in sizes) == 2 * 4004
+    assert max(r["count"] for r in sizes) < 4004

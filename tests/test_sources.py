@@ -231,3 +231,18 @@ def test_matches_sort_no_deliveries(spark, tmp_path):
     assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
     assert rows(found, "matchid", "team1", "team2") == [
         (None, None, None), (0, "Team0", "Team1"), (1, "Team1", "Team2")]
+
+
+def test_squads_are_the_distinct_players_of_all_deliveries(spark, tmp_path):
+    folder = lines(spark, tmp_path)
+    played = views.deliveries(spark, folder).select(
+        "matchid", F.inline(F.array(*[
+            F.struct(F.col(team).alias("playing_team"), F.col(name).alias("playername"))
+            for team, name in (("battingteam", "batsmanname"), ("bowlingteam", "bowlername"))])))
+    found = views.squads(spark, folder)
+    assert rows(found, "matchid", "playing_team", "playername") == rows(played.distinct())
+    assert found.filter("playername is null").count() > 0
+
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 1 and "playername" not in moved[0] and "block" in moved[0]

@@ -1,9 +1,10 @@
 """Per-match player scorecards from ball-by-ball deliveries.
 
-A delivery is seen twice: by its batter and by its bowler. A task sums up what it
-reads to a row per player, match and side, with a bit per ball and a sum per over,
-before anything is shuffled, so a match or a player that owns a large share of all
-deliveries is no hot spot.
+A delivery is seen twice: by its batter and by its bowler. Deliveries move once, in
+few columns, to ranges of equal size, so that those of a match lie together in whatever
+order they were stored. A task then sums up its range to a row per player, match and
+side, with a bit per ball and a sum per over. A match or a player that owns a large
+share of all deliveries is spread over many ranges, so it is no hot spot.
 """
 
 from __future__ import annotations
@@ -55,15 +56,26 @@ def _as_bowler() -> list[Column]:
             _wicket().alias("wicket")]
 
 
+def _together(deliveries: DataFrame) -> DataFrame:
+    """Deliveries in ranges of matches, and of overs and players within a large match.
+
+    Where the rows of a match are stored all over the table, a task would find few rows to
+    sum up, and its wide sums would fill its memory and the shuffle.
+    """
+    return deliveries.filter(F.col("matchid").isNotNull()).repartitionByRange(
+        "matchid", "over", *[c for c in ("batsmanname", "bowlername") if c in deliveries.columns])
+
+
 def _seen_by(deliveries: DataFrame, *views: list[Column]) -> DataFrame:
     """Deliveries from the given points of view; rows without match or player are dropped."""
-    shared = ["matchid", "over", "innings", "battingteam", "bowlingteam"]
+    shared = ["matchid", "over", *SIDE]
+    together = _together(deliveries)
     if len(views) == 1:
-        seen = deliveries.select(*shared, *views[0])
+        seen = together.select(*shared, *views[0])
     else:
-        seen = deliveries.select(
+        seen = together.select(
             *shared, F.inline(F.array(*[F.struct(*view) for view in views])))
-    return seen.filter(F.col("matchid").isNotNull() & F.col("playername").isNotNull())
+    return seen.filter(F.col("playername").isNotNull())
 
 
 def _per_side(balls: DataFrame) -> DataFrame:
@@ -100,24 +112,26 @@ def _per_block(balls: DataFrame) -> DataFrame:
     rows with `is_side`: the innings and teams that the player took part in.
 
     All rows of a player's match meet in one task; they are few. Names are cleaned here, once a
-    row and not once a ball.
+    row and not once a ball. The rows are wide and grow in memory, but adaptive execution gathers
+    partitions by the bytes shuffled: a fixed number of partitions stays as it is.
     """
+    parts = int(balls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     view = [*KEYS, "bats", "is_side", *SIDE, "block"]
     sums = [f"runs_{k}" for k in range(BLOCK)]
     counts = ["balls", "sixes", "fours", "wickets"]
     words = [f"bits_{w}" for w in range(BLOCK // OVERS)]
     per_side = (_per_side(balls).withColumn("playername", clean_name(F.col("playername")))
-                .repartition(*KEYS)
+                .repartition(parts, *KEYS)
                 .withColumn("is_side", F.explode(F.array(F.lit(False), F.lit(True)))))
     measures = ["block", "fine", "runs", *counts, *words, "overs", *sums]
-    parts = per_side.selectExpr(
+    rows = per_side.selectExpr(
         *KEYS, "bats", "is_side", *[f"case when is_side then {c} end as {c}" for c in SIDE],
         *[f"case when not is_side then {c} end as {c}" for c in measures], "wickets_down")
     merged = [F.expr(f"{f}({c}) as {c}") for f, c in (
         *(("sum", c) for c in ("runs", *counts, *sums)), ("min", "wickets_down"),
         ("bit_or", "overs"))]
     distinct = " + ".join(f"coalesce(bit_count(bit_or({w})), 0)" for w in words)
-    exact = parts.groupBy(*view, "fine").agg(
+    exact = rows.groupBy(*view, "fine").agg(
         *merged, F.expr(f"case when fine is not null then 1 else {distinct} end as legal_balls"))
     blocks = exact.groupBy(*view).agg(*merged, F.sum("legal_balls").alias("legal_balls"))
     maidens = " + ".join(f"if(overs & {1 << k} <> 0 and coalesce({c}, 0) = 0, 1, 0)"

@@ -69,10 +69,20 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def squads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every player who took part in a match, with a cost and a made-up prediction."""
-    seen = deliveries(spark, sf_dir).selectExpr("matchid", """inline(array(
-        struct(battingteam as playing_team, batsmanname as playername),
-        struct(bowlingteam as playing_team, bowlername as playername)))""").distinct()
-    return seen.withColumn("id", F.expr("cast(substr(playername, 3) as int)")).selectExpr(
+    # A bit per player: a task keeps a row per match, team and 64 numbers of players, not a row
+    # per player, so few rows are held and shuffled in whatever order the deliveries come.
+    entries = deliveries(spark, sf_dir).selectExpr("matchid", """inline(array(
+        struct(cast(substr(battingteam, 5) as int) as team,
+               cast(substr(batsmanname, 3) as int) as id),
+        struct(cast(substr(bowlingteam, 5) as int) as team,
+               cast(substr(bowlername, 3) as int) as id)))""")
+    masks = entries.selectExpr("*", "shiftright(id, 6) as block").groupBy(
+        "matchid", "team", "block").agg(F.expr("bit_or(shiftleft(1L, id & 63)) as mask"))
+    # Without a number there is no mask, but still one row.
+    places = "if(mask is null, array(0), filter(sequence(0, 63), k -> getbit(mask, k) = 1))"
+    seen = masks.selectExpr("*", f"explode({places}) as place").selectExpr(
+        "matchid", "concat('Team', team) as playing_team", "block * 64 + place as id")
+    return seen.withColumn("playername", F.expr("concat('P-', id)")).selectExpr(
         "matchid", "playing_team", "playername", "id % 11 as idx",
         "(16 + (id * 7) % 6) / cast(2 as double) as playercost",
         "cast((id * 37 + matchid * 13) % 101 as double) as pred_points")
