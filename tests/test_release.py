@@ -187,6 +187,61 @@ def test_the_state_of_a_match_is_small_and_comes_out_whole():
     assert list(out["row"]) == texts and out["complete"].all() and not state.exists
 
 
+def test_the_state_of_a_match_holds_no_digests():
+    """Deliveries that differ in little: what they have in common is stored once a match."""
+    texts = ['{"c0":%d,"c1":"1st innings","c2":"P-%d"\t,"c3":"2021-01-02"}' % (i, i % 11)
+             for i in range(300)]
+    state = Held()
+    for at in (0, 1, 2, 0):
+        part = texts[at::3]
+        frame = pd.DataFrame({
+            "unique": [hashlib.md5(t.encode()).digest() for t in part], "innings": "1st",
+            "over": 19.6, "landed": at, "row": part})
+        assert list(_hold((1,), iter([frame]), state, Hold(sides=1))) == []
+    newest, parts, _, last = state.get
+    assert len(newest) + sum(map(len, parts)) < 16 * len(texts) and last == 2
+    state.hasTimedOut = True
+    out, = _hold((1,), iter([]), state, Hold(sides=1))
+    assert sorted(out["row"]) == sorted(texts)
+
+
+def test_many_small_batches_of_a_match():
+    texts = ['{"c0":%d}' % i for i in range(120)]
+    state = Held()
+    for text in texts:
+        frame = pd.DataFrame({
+            "unique": [text.encode()] * 2, "innings": [None, "1st"], "over": [float("nan"), 3.2],
+            "landed": 1, "row": [text] * 2})
+        assert list(_hold((1,), iter([frame]), state, Hold())) == []
+    assert len(state.get[1]) == 1
+    state.hasTimedOut = True
+    state.getCurrentWatermarkMs = lambda: 10 ** 15
+    out, = _hold((1,), iter([]), state, Hold())
+    assert list(out["row"]) == texts and not out["complete"].any()
+
+
+@pytest.mark.parametrize("unique", [("eventid", "sequence"), ("note",), tuple(
+    "eventid innings sequence over note landed".split())])
+def test_rows_come_out_as_they_went_in(spark, tmp_path, unique):
+    """Nulls, empty texts, tabs and line breaks; the first of equal `unique` columns counts."""
+    schema = "eventid long, innings string, sequence long, over double, note string, landed timestamp"
+    data = [(1, "1st", 1, 19.6, "a\tb\n\"c\"", day(0)), (1, "2nd", 2, 20.5, "", day(0)),
+            (1, None, 3, None, None, day(0)), (1, None, None, 0.1, "}", day(0))]
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    for landed in (data + data[:2], data[1:], [(None,) * 5 + (day(30),)]):
+        spark.createDataFrame(landed, schema).coalesce(1).write.mode("append").parquet(landing)
+        query = (release(spark.readStream.schema(schema).parquet(landing), Hold(unique=unique))
+                 .writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", str(tmp_path / "progress"))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination(120)
+        assert query.exception() is None
+    got = spark.read.schema(schema + ", complete boolean").parquet(out)
+    assert got.columns == [*schema.replace(",", "").split()[::2], "complete"]
+    assert sorted(map(str, got.collect())) == sorted(
+        map(str, spark.createDataFrame([(*r, True) for r in data], got.schema).collect()))
+
+
 def test_state_is_kept_on_disk(spark, tmp_path):
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider, None)
